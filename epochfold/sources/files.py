@@ -34,27 +34,26 @@ class Files:
         return summary.getLength(), summary.getFileCount()
 
     def delete(self, path: str) -> None:
-        self._fs.delete(self._path(path), True)
-        if self.exists(path):
+        """Delete a file or directory, if it exists."""
+        if not self._fs.delete(self._path(path), True) and self.exists(path):
             raise OSError(f"could not delete {path}")
 
+    def make(self, path: str) -> None:
+        self._fs.mkdirs(self._path(path))
+
     def move(self, source: str, target: str) -> None:
-        """Move a file or directory to a path that must not exist yet."""
-        destination = self._path(target)
-        self._fs.mkdirs(destination.getParent())
-        if self._fs.exists(destination) or not self._fs.rename(self._path(source), destination):
+        """Rename a file or directory. The target's parent is there, the target is not."""
+        if not self._fs.rename(self._path(source), self._path(target)):
             raise OSError(f"could not move {source} to {target}")
 
     def write_text(self, path: str, text: str) -> None:
         """Write a small file that is either there in full or not at all."""
-        draft = self._path(path + ".draft")
-        out = self._fs.create(draft, True)
+        out = self._fs.create(self._path(path + ".draft"), True)
         try:
             out.write(bytearray(text, "utf-8"))
         finally:
             out.close()
-        if self.exists(path):
-            self.delete(path)
+        self.delete(path)
         self.move(path + ".draft", path)
 
     def read_text(self, path: str) -> str:

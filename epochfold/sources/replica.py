@@ -18,6 +18,7 @@ import json
 import re
 import time
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import asdict, dataclass
 
@@ -457,29 +458,61 @@ class ReplicaStore:
     def _publish(self, stage: str, manifest: dict) -> None:
         """Put staged partitions in place. Every step may be repeated after a crash."""
         started = time.monotonic()
-        trees = {t: f"{stage}/content/{_TREE}={t}" for t in (_REPLACE, _APPEND)}
         if "schema" in manifest:
             self._set_schema(T.StructType.fromJson(manifest["schema"]))
         if self.publish_by == "copy":
             self._overwrite_partitions(stage, manifest)
-        for partition in manifest["replace"] if self.publish_by == "move" else []:
-            source = f"{trees[_REPLACE]}/{self._directory(partition)}"
-            if self.files.exists(source):
-                target = f"{self.root}/{self._directory(partition)}"
-                self.files.delete(target)
-                self.files.move(source, target)
-        for partition in manifest["append"] if self.publish_by == "move" else []:
-            directory = self._directory(partition)
-            for name in self.files.names(f"{trees[_APPEND]}/{directory}"):
-                self.files.move(
-                    f"{trees[_APPEND]}/{directory}/{name}", f"{self.root}/{directory}/{name}"
-                )
-        for partition in manifest["remove"]:
-            self.files.delete(f"{self.root}/{self._directory(partition)}")
+        else:
+            self._swap_partitions(f"{stage}/content/{_TREE}={_REPLACE}")
+            self._add_files(f"{stage}/content/{_TREE}={_APPEND}")
+        self._each(
+            lambda p: self.files.delete(f"{self.root}/{self._directory(p)}"), manifest["remove"]
+        )
         if "run_id" in manifest:
             self._record(manifest, time.monotonic() - started)
         self.files.delete(stage)
 
+    def _swap_partitions(self, tree: str) -> None:
+        """Put staged directories in the place of the old ones.
+
+        What is still in the tree has not been moved, so a repetition goes on where it stopped.
+        """
+
+        def swap(names: tuple[str, str]) -> None:
+            path = "/".join(names)
+            self.files.delete(f"{self.root}/{path}")
+            self.files.move(f"{tree}/{path}", f"{self.root}/{path}")
+
+        here = set(self._partition_roots())
+        there = self.files.names(tree)
+        self._each(
+            lambda name: self.files.move(f"{tree}/{name}", f"{self.root}/{name}"),
+            [name for name in there if name not in here],
+        )
+        self._each(
+            swap, [(n, m) for n in there if n in here for m in self.files.names(f"{tree}/{n}")]
+        )
+
+    def _add_files(self, tree: str) -> None:
+        """Move staged files, which have unique names, next to those already there."""
+
+        def add(names: tuple[str, str]) -> None:
+            path = "/".join(names)
+            self.files.make(f"{self.root}/{path}")
+            for name in self.files.names(f"{tree}/{path}"):
+                self.files.move(f"{tree}/{path}/{name}", f"{self.root}/{path}/{name}")
+
+        self._each(
+            add, [(n, m) for n in self.files.names(tree) for m in self.files.names(f"{tree}/{n}")]
+        )
+
+    @staticmethod
+    def _each(action, items: list) -> None:
+        """Metadata calls wait for the file system, so several are kept under way."""
+        with ThreadPoolExecutor(max_workers=8) as pool:
+            for _ in pool.map(action, items):
+                pass
+
     def _overwrite_partitions(self, stage: str, manifest: dict) -> None:
         """Dynamic overwrite from staging, which stays whole until the load is recorded."""
         if not manifest["replace"]:
@@ -511,6 +544,8 @@ class ReplicaStore:
             for s in [*manifest["stages"], publish]
         ]
         runs = f"{self.root}/_runs"
+        self.files.make(f"{runs}/partitions")
+        self.files.make(f"{runs}/stages")
         partitions = [{"run_id": run_id, **c} for c in changes]
         self.files.write_text(f"{runs}/partitions/{run_id}.json", _lines(partitions))
         self.files.write_text(f"{runs}/stages/{run_id}.json", _lines(stages))
