@@ -6,8 +6,6 @@ counts are answered from file footers without reading a data column.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +15,7 @@ from epochfold.operators.apply import _ROWS, on_version
 from epochfold.operators.increment import displacing_keys
 
 Partition = tuple[str | None, str | None]
+_NONE = "-"
 
 
 def open_view(replica: DataFrame, contract: Contract = Contract()) -> DataFrame:
@@ -96,34 +95,10 @@ def touched_partitions(
 
 
 def in_partitions(partitions: list[Partition], contract: Contract) -> Column:
-    """A null-safe filter for a list of partitions, made of the month columns only."""
-    if not partitions:
-        return F.lit(False)
-    by_to: dict[str | None, list[str | None]] = {}
-    for to, start in partitions:
-        by_to.setdefault(to, []).append(start)
-    terms = [
-        col(contract.to_month).eqNullSafe(F.lit(to)) & _among(col(contract.from_month), starts)
-        for to, starts in by_to.items()
-    ]
-    return _any(terms)
-
-
-def _among(column: Column, values: list[str | None]) -> Column:
-    known = [v for v in values if v is not None]
-    terms = ([column.isin(known) & column.isNotNull()] if known else []) + (
-        [column.isNull()] if len(known) < len(values) else []
-    )
-    return reduce(lambda a, b: a | b, terms)
-
+    """A null-safe filter for a list of partitions, made of the month columns only.
 
-def _any(terms: list[Column]) -> Column:
-    """OR as a balanced tree, so that hundreds of terms do not nest hundreds deep."""
-    if len(terms) == 1:
-        return terms[0]
-    half = len(terms) // 2
-    return _any(terms[:half]) | _any(terms[half:])
-
-
-def from_months_in(months: list[str | None], contract: Contract) -> Column:
-    return _among(col(contract.from_month), months) if months else F.lit(False)
+    One hash lookup of the partition's name, however long the list is.
+    """
+    names = ["/".join(_NONE if month is None else month for month in p) for p in partitions]
+    months = (F.coalesce(col(c), F.lit(_NONE)) for c in contract.partition_columns)
+    return F.concat_ws("/", *months).isin(names)

@@ -32,7 +32,6 @@ from epochfold.operators.apply import CARDINALITY_ERROR, on_version
 from epochfold.operators.increment import displacing_keys, prepare, with_months
 from epochfold.operators.partitions import (
     Partition,
-    from_months_in,
     in_partitions,
     partition_counts,
     replaced_counts,
@@ -84,8 +83,9 @@ class ReplicaStore:
 
     ``publish`` is ``"move"`` (rename staged directories into place), ``"copy"`` (rewrite them
     with a dynamic partition overwrite, for stores where a rename is a copy that may stop half
-    way) or ``"auto"``. ``broadcast_bytes`` bounds the key set that may be broadcast.
-    ``small_file_bytes`` is the mean file size below which a rewrite also compacts.
+    way) or ``"auto"``. ``broadcast_bytes`` bounds the key set that may be broadcast. A rewrite
+    also compacts if its partitions hold more than ``crowded`` files per ``file_bytes`` of data,
+    or files of less than ``tiny_bytes`` on average.
     """
 
     def __init__(
@@ -98,7 +98,9 @@ class ReplicaStore:
         write_options: dict[str, str] | None = None,
         publish: str = "auto",
         broadcast_bytes: int = 64 << 20,
-        small_file_bytes: int = 16 << 20,
+        file_bytes: int = 64 << 20,
+        crowded: int = 4,
+        tiny_bytes: int = 1 << 20,
     ):
         self.spark = spark
         self.root = root.rstrip("/")
@@ -112,7 +114,9 @@ class ReplicaStore:
             raise ValueError("publish must be 'move', 'copy' or 'auto'")
         self.publish_by = publish
         self.broadcast_bytes = broadcast_bytes
-        self.small_file_bytes = small_file_bytes
+        self.file_bytes = file_bytes
+        self.crowded = crowded
+        self.tiny_bytes = tiny_bytes
         self._schema: T.StructType | None = None
 
     # -- reading -------------------------------------------------------------------------------
@@ -319,7 +323,7 @@ class ReplicaStore:
         changes: dict[Partition, PartitionChange],
     ) -> None:
         """Find the partitions that lose rows. Reads key columns of the months concerned only."""
-        candidates = replica.where(from_months_in(months, self.contract))
+        candidates = replica.where(col(self.contract.from_month).isin(months))
         ambiguous = 0
         for to, start, replaced, clashes in replaced_counts(
             candidates, keys, mode, self.contract
@@ -357,36 +361,40 @@ class ReplicaStore:
         to rewrite them anyway.
         """
         losing = [c for c in changes.values() if c.replaced and c.action == _REPLACE]
-        parts: list[DataFrame] = []
+        kept: list[DataFrame] = []
         if losing:
             old = replica.where(in_partitions([c.key for c in losing], self.contract))
-            parts.append(on_version(old, keys, "left_anti", self.contract))
+            kept.append(on_version(old, keys, "left_anti", self.contract))
         carried = [
             c.key
             for c in changes.values()
             if c.action == _REPLACE and not c.replaced and c.rows_before
         ]
         if carried:
-            parts.append(replica.where(in_partitions(carried, self.contract)))
-        rewritten = in_partitions(
-            [c.key for c in changes.values() if c.action == _REPLACE], self.contract
+            kept.append(replica.where(in_partitions(carried, self.contract)))
+        gaining = in_partitions(
+            [c.key for c in changes.values() if c.action == _APPEND], self.contract
         )
-        # Rows kept next to a broadcast key set sit in the order of their partitions' files and
-        # can be written from there: only the increment is shuffled. After a shuffled join every
-        # task holds rows of every partition, and small files are worth a compaction.
-        as_read = broadcast and self._mean_file_bytes(losing) >= self.small_file_bytes
-        every = prepared
-        if as_read:
-            every = self._rebalanced(prepared)
-        for part in parts:
-            every = every.unionByName(part)
-        if not as_read:
-            every = self._rebalanced(every)
-        return every.withColumn(_TREE, F.when(rewritten, _REPLACE).otherwise(_APPEND))
-
-    def _mean_file_bytes(self, changes: list[PartitionChange]) -> float:
-        usages = [self.files.usage(f"{self.root}/{self._directory(c.key)}") for c in changes]
-        return sum(u[0] for u in usages) / max(1, sum(u[1] for u in usages))
+        incoming = prepared.withColumn(_TREE, F.when(gaining, _APPEND).otherwise(_REPLACE))
+        # Rows kept next to a broadcast key set still sit in their partitions' files and can be
+        # written from there: only the increment is shuffled. After a shuffled join every task
+        # holds rows of every partition, and too many small files are worth a compaction.
+        as_read = broadcast and not self._wants_compaction(losing)
+        every = self._rebalanced(incoming) if as_read else incoming
+        for part in kept:
+            every = every.unionByName(part.withColumn(_TREE, F.lit(_REPLACE)))
+        return every if as_read else self._rebalanced(every)
+
+    def _wants_compaction(self, changes: list[PartitionChange]) -> bool:
+        """Whether partitions hold too many files, or files too small to be worth opening."""
+        usages: list[tuple[int, int]] = []
+        self._each(
+            lambda c: usages.append(self.files.usage(f"{self.root}/{self._directory(c.key)}")),
+            changes,
+        )
+        files = sum(count for _, count in usages)
+        enough = sum(1 + size // self.file_bytes for size, _ in usages)
+        return files > self.crowded * enough or sum(s for s, _ in usages) < files * self.tiny_bytes
 
     def _verify(self, stage: str, changes: dict[Partition, PartitionChange]) -> int:
         """Compare the staged rows of each partition with the counts taken before; return all."""

@@ -62,7 +62,7 @@ def test_edges_on_disk(spark, new_store, name, mode, publish):
 
 
 @pytest.mark.parametrize("options", [{"format": "orc"}, {"broadcast_bytes": 0},
-                                     {"small_file_bytes": 0}, {"publish": "copy"}])
+                                     {"tiny_bytes": 0}, {"publish": "copy"}])
 @pytest.mark.parametrize("mode", [APPEND_CLOSE, MERGE])
 def test_chained_loads_equal_the_operators(spark, new_store, mode, options):
     store = new_store(**options)
