@@ -23,16 +23,17 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def _inputs(spark: SparkSession, sf_dir: str, **options) -> tuple[DataFrame, DataFrame]:
-    replica = history.replica(spark, sf_dir)
-    raw = history.increment(spark, sf_dir, **options)
-    return replica, increment.prepare(raw, replica.schema)
+    orders = history.orders(spark, sf_dir)
+    replica = history.replica(orders)
+    return replica, increment.prepare(history.increment(orders, **options), replica.schema)
 
 
 def _loaded(spark: SparkSession, sf_dir: str, mode: str, **options) -> ReplicaStore:
     """A stored replica with the first increment applied to it."""
+    orders = history.orders(spark, sf_dir)
     store = ReplicaStore(spark, shared_folder(spark, f"replica-{mode}"))
-    store.initial_load(history.initial(spark, sf_dir))
-    store.apply(history.increment(spark, sf_dir, **options), mode, run_id="first")
+    store.initial_load(history.initial(orders))
+    store.apply(history.increment(orders, **options), mode, run_id="first")
     return store
 
 
@@ -131,7 +132,7 @@ def closed_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def init_partition_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return partitions.partition_counts(history.replica(spark, sf_dir))
+    return partitions.partition_counts(history.replica(history.orders(spark, sf_dir)))
 
 
 def increment_partition_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,29 +27,25 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def initial(spark: SparkSession, sf_dir: str) -> DataFrame:
+def initial(orders: DataFrame) -> DataFrame:
     """Every order as one open version, without month columns."""
-    return orders(spark, sf_dir).select(
+    return orders.select(
         "id", "eff_from_dt", F.lit(CONTRACT.open_date).alias("eff_to_dt"), "cust_id", "status", "amount"
     )
 
 
-def replica(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_months(initial(spark, sf_dir), CONTRACT)
+def replica(orders: DataFrame) -> DataFrame:
+    return with_months(initial(orders), CONTRACT)
 
 
-def increment(
-    spark: SparkSession, sf_dir: str, year: int | None = None, repeat: bool = False
-) -> DataFrame:
+def increment(orders: DataFrame, year: int | None = None, repeat: bool = False) -> DataFrame:
     """The raw increment: 5 % of the orders closed and reopened, 5 % new entities.
 
     ``year`` restricts it to orders of one year. ``repeat`` delivers the closed rows of ids
     divisible by 3 twice, which a merge has to refuse.
     """
-    base = orders(spark, sf_dir)
-    top = base.agg(F.max("id")).scalar()
-    if year is not None:
-        base = base.where(F.year("eff_from_dt") == year)
+    top = orders.agg(F.max("id")).scalar()
+    base = orders if year is None else orders.where(F.year("eff_from_dt") == year)
     days = (F.col("id") % 90).cast("int")
     closed = _version(end=F.date_add("eff_from_dt", days + 1))
     successor = _version(
