@@ -28,10 +28,12 @@ def _inputs(spark: SparkSession, sf_dir: str, **options) -> tuple[DataFrame, Dat
     return replica, increment.prepare(history.increment(orders, **options), replica.schema)
 
 
-def _loaded(spark: SparkSession, sf_dir: str, mode: str, **options) -> ReplicaStore:
+def _loaded(
+    spark: SparkSession, sf_dir: str, mode: str, publish: str = "auto", **options
+) -> ReplicaStore:
     """A stored replica with the first increment applied to it."""
     orders = history.orders(spark, sf_dir)
-    store = ReplicaStore(spark, shared_folder(spark, f"replica-{mode}"))
+    store = ReplicaStore(spark, shared_folder(spark, f"replica-{mode}"), publish=publish)
     store.initial_load(history.initial(orders))
     store.apply(history.increment(orders, **options), mode, run_id="first")
     return store
@@ -100,6 +102,11 @@ def store_merge_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read()
 
 
+def store_copy_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The publish for file systems without a cheap rename."""
+    return _loaded(spark, sf_dir, APPEND_CLOSE, publish="copy", year=1997).read()
+
+
 def store_partition_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a load of one year's increment changed, from the run report."""
     report = _loaded(spark, sf_dir, APPEND_CLOSE, year=1997).partition_report()
@@ -201,6 +208,7 @@ _QUERIES: list[Query] = [
     store_append_close,
     store_merge_upsert,
     store_merge_late,
+    store_copy_publish,
     store_partition_report,
     store_stage_report,
     open_view,
@@ -388,6 +396,7 @@ SELECT i.id, CAST(i.eff_from_dt AS VARCHAR) AS eff_from_dt, i.source_rows,
         "store_append_close": f"{_with()} SELECT {_ROW} FROM v1",
         "store_merge_upsert": f"{_with()} SELECT {_ROW} FROM v2",
         "store_merge_late": f"{_with()} SELECT {_ROW} FROM late_v2",
+        "store_copy_publish": f"{_with(year=1997)} SELECT {_ROW} FROM v1",
         "store_partition_report": f"""{_with(year=1997)}
 SELECT eff_to_month, eff_from_month,
        CASE WHEN rows_after = 0 THEN 'remove' WHEN replaced > 0 OR rows_before = 0 THEN 'replace'

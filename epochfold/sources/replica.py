@@ -153,18 +153,24 @@ class ReplicaStore:
 
     # -- loading -------------------------------------------------------------------------------
 
-    def initial_load(self, source: DataFrame, overwrite: bool = False) -> None:
+    def initial_load(
+        self, source: DataFrame, overwrite: bool = False, clustered: bool = False
+    ) -> None:
         """Write the first content, month columns derived from the intervals.
 
-        Replacing an existing replica needs ``overwrite`` and goes through staging, so it may
-        read the replica itself and survives a crash like any load.
+        Rows are brought together by month first; a source that is ``clustered`` by the interval's
+        dates already is written without that shuffle. Replacing an existing replica needs
+        ``overwrite`` and goes through staging, so it may read the replica itself and survives a
+        crash like any load.
         """
         rows = with_months(source, self.contract)
         payload = [c for c in rows.columns if c not in self.contract.partition_columns]
         rows = rows.select(*(col(c) for c in payload + self.contract.partition_columns))
         schema = text_months(rows.schema, self.contract)
+        if not clustered:
+            rows = self._rebalanced(rows)
         if not self._partition_roots():
-            self._write(self._rebalanced(rows), self.root, "append")
+            self._write(rows, self.root, "append")
             self._set_schema(schema)
             return
         if not overwrite:
@@ -175,7 +181,7 @@ class ReplicaStore:
             (r[0], r[1])
             for r in self.read().select(*self.contract.partition_columns).distinct().collect()
         }
-        self._write(self._rebalanced(rows.withColumn(_TREE, F.lit(_REPLACE))), f"{stage}/content")
+        self._write(rows.withColumn(_TREE, F.lit(_REPLACE)), f"{stage}/content")
         staged = {
             (r[self.contract.to_month], r[self.contract.from_month])
             for r in self._staged_counts(stage, schema)
@@ -460,6 +466,7 @@ class ReplicaStore:
 
     def _commit(self, stage: str, manifest: dict) -> None:
         """From the manifest on, a load is finished by this process or by the next ``recover``."""
+        manifest["publish"] = self.publish_by
         self.files.write_text(f"{stage}/manifest.json", json.dumps(manifest))
         self._publish(stage, manifest)
 
@@ -468,7 +475,8 @@ class ReplicaStore:
         started = time.monotonic()
         if "schema" in manifest:
             self._set_schema(T.StructType.fromJson(manifest["schema"]))
-        if self.publish_by == "copy":
+        # What was staged depends on the method, so a replay keeps to it.
+        if manifest["publish"] == "copy":
             self._overwrite_partitions(stage, manifest)
         else:
             self._swap_partitions(f"{stage}/content/{_TREE}={_REPLACE}")

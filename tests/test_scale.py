@@ -112,6 +112,28 @@ def test_broadcast_needs_a_bound(spark, tmp_path):
         assert ("SortMergeJoin" in plan) is not small
 
 
+@pytest.mark.parametrize("tiny_bytes", [0, 1 << 20])
+def test_kept_rows_are_written_from_where_they_were_read(
+    spark, tmp_path, monkeypatch, tiny_bytes
+):
+    """Next to a broadcast key set only the increment is shuffled, unless files are tiny."""
+    plans = []
+    store = ReplicaStore(spark, str(tmp_path / "replica"), tiny_bytes=tiny_bytes)
+    store.initial_load(table(spark, REPLICA))
+    write = store._write
+
+    def spy(rows, path, *mode):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        write(rows, path, *mode)
+
+    monkeypatch.setattr(store, "_write", spy)
+    store.apply(table(spark, [(1, "2024-01-03", "2024-02-03", "x")]), APPEND_CLOSE)
+    (plan,) = plans
+    assert plan.count("REBALANCE") == 1 and "SortMergeJoin" not in plan
+    kept_rows_shuffled = plan.index("REBALANCE") < plan.index("Union")
+    assert kept_rows_shuffled is (tiny_bytes > 0)
+
+
 def test_catalog_merge_is_complete_up_to_the_table_format(spark):
     """Names and types resolve; what the container lacks is a table that takes row changes."""
     spark.sql("DROP TABLE IF EXISTS plain_replica")
@@ -121,6 +143,8 @@ def test_catalog_merge_is_complete_up_to_the_table_format(spark):
         catalog.merge_into_table(spark, "plain_replica", raw)
     with pytest.raises(Exception):
         catalog.merge_into_table(spark, "plain_replica", raw.drop("eff_from_dt"))
+    with pytest.raises(Exception, match="(?i)partition|transform|replace"):
+        catalog.create_replica_table(table(spark, REPLICA), "monthly_replica", provider="orc")
     catalog.drop_table(spark, "plain_replica")
     assert not spark.catalog.tableExists("plain_replica")
 
