@@ -44,6 +44,10 @@ _REPLACE, _APPEND = "replace", "append"
 _RUN_ID = re.compile(r"[A-Za-z0-9][A-Za-z0-9._-]*")
 # Generous size of one (number, date) key in a hash table on an executor.
 _KEY_BYTES = 96
+_WIDTH = "spark.sql.shuffle.partitions"
+# Compressed file bytes per shuffle task, several times as much once decoded.
+_BYTES_PER_TASK = 128 << 20
+_MOST_TASKS = 20_000
 _FIXED_WIDTH = (T.NumericType, T.DatetimeType, T.BooleanType)
 
 STAGES = "run_id string, mode string, stage string, partitions long, rows_in long, rows_out long, seconds double"
@@ -167,10 +171,12 @@ class ReplicaStore:
         payload = [c for c in rows.columns if c not in self.contract.partition_columns]
         rows = rows.select(*(col(c) for c in payload + self.contract.partition_columns))
         schema = text_months(rows.schema, self.contract)
+        size = 0 if clustered else _planned_bytes(rows)
         if not clustered:
             rows = self._rebalanced(rows)
         if not self._partition_roots():
-            self._write(rows, self.root, "append")
+            with self._shuffling(size):
+                self._write(rows, self.root, "append")
             self._set_schema(schema)
             return
         if not overwrite:
@@ -181,7 +187,8 @@ class ReplicaStore:
             (r[0], r[1])
             for r in self.read().select(*self.contract.partition_columns).distinct().collect()
         }
-        self._write(rows.withColumn(_TREE, F.lit(_REPLACE)), f"{stage}/content")
+        with self._shuffling(size):
+            self._write(rows.withColumn(_TREE, F.lit(_REPLACE)), f"{stage}/content")
         staged = {
             (r[self.contract.to_month], r[self.contract.from_month])
             for r in self._staged_counts(stage, schema)
@@ -250,8 +257,14 @@ class ReplicaStore:
 
             with self._stage(report, "stage") as row:
                 rewritten = [c for c in changes.values() if c.action == _REPLACE]
-                content = self._content(replica, prepared, keys, changes, key_rows and small)
-                self._write(content, f"{stage}/content")
+                usages = self._usage([c for c in rewritten if c.rows_before])
+                as_read = bool(key_rows) and small and not self._wants_compaction(usages)
+                content = self._content(replica, prepared, keys, changes, as_read)
+                # The increment is taken to be as wide as the rows it replaces or joins.
+                size = sum(s for s, _ in usages)
+                size += size / max(1, sum(c.rows_before for c in rewritten)) * total_in
+                with self._shuffling(size):
+                    self._write(content, f"{stage}/content")
                 row.update(
                     partitions=len(changes),
                     rows_in=sum(c.rows_before for c in rewritten) + total_in,
@@ -359,12 +372,14 @@ class ReplicaStore:
         prepared: DataFrame,
         keys: DataFrame | None,
         changes: dict[Partition, PartitionChange],
-        broadcast: bool,
+        as_read: bool,
     ) -> DataFrame:
         """New content of the changed partitions, in the tree it will be published from.
 
         Partitions that only gain rows contribute nothing but those rows, unless the publish has
-        to rewrite them anyway.
+        to rewrite them anyway. Rows kept next to a broadcast key set still sit in their
+        partitions' files and can be written ``as_read``: only the increment is shuffled. After a
+        shuffled join every task holds rows of every partition, so everything is rebalanced.
         """
         losing = [c for c in changes.values() if c.replaced and c.action == _REPLACE]
         kept: list[DataFrame] = []
@@ -382,26 +397,44 @@ class ReplicaStore:
             [c.key for c in changes.values() if c.action == _APPEND], self.contract
         )
         incoming = prepared.withColumn(_TREE, F.when(gaining, _APPEND).otherwise(_REPLACE))
-        # Rows kept next to a broadcast key set still sit in their partitions' files and can be
-        # written from there: only the increment is shuffled. After a shuffled join every task
-        # holds rows of every partition, and too many small files are worth a compaction.
-        as_read = broadcast and not self._wants_compaction(losing)
         every = self._rebalanced(incoming) if as_read else incoming
         for part in kept:
             every = every.unionByName(part.withColumn(_TREE, F.lit(_REPLACE)))
         return every if as_read else self._rebalanced(every)
 
-    def _wants_compaction(self, changes: list[PartitionChange]) -> bool:
-        """Whether partitions hold too many files, or files too small to be worth opening."""
+    def _usage(self, changes: list[PartitionChange]) -> list[tuple[int, int]]:
+        """Bytes and files of each partition."""
         usages: list[tuple[int, int]] = []
         self._each(
             lambda c: usages.append(self.files.usage(f"{self.root}/{self._directory(c.key)}")),
             changes,
         )
+        return usages
+
+    def _wants_compaction(self, usages: list[tuple[int, int]]) -> bool:
+        """Whether partitions hold too many files, or files too small to be worth opening."""
         files = sum(count for _, count in usages)
         enough = sum(1 + size // self.file_bytes for size, _ in usages)
         return files > self.crowded * enough or sum(s for s, _ in usages) < files * self.tiny_bytes
 
+    @contextmanager
+    def _shuffling(self, size: float):
+        """Shuffle partitions for ``size`` bytes of files, if the session has fewer.
+
+        AQE joins partitions it does not need but cannot split evenly filled ones, so a load much
+        larger than the session was set up for would otherwise spill all the way.
+        """
+        given = self.spark.conf.get(_WIDTH)
+        wanted = min(int(size) // _BYTES_PER_TASK, _MOST_TASKS)
+        if wanted <= int(given):
+            yield
+            return
+        self.spark.conf.set(_WIDTH, str(wanted))
+        try:
+            yield
+        finally:
+            self.spark.conf.set(_WIDTH, given)
+
     def _verify(self, stage: str, changes: dict[Partition, PartitionChange]) -> int:
         """Compare the staged rows of each partition with the counts taken before; return all."""
         staged = {
@@ -575,5 +608,11 @@ class ReplicaStore:
         row["seconds"] = time.monotonic() - started
 
 
+def _planned_bytes(rows: DataFrame) -> int:
+    """Spark's size estimate of a plan, or 0 if it has none."""
+    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size if size < 1 << 60 else 0
+
+
 def _lines(rows: list[dict]) -> str:
     return "\n".join(json.dumps(row) for row in rows) + "\n"

@@ -134,6 +134,25 @@ def test_kept_rows_are_written_from_where_they_were_read(
     assert kept_rows_shuffled is (tiny_bytes > 0)
 
 
+def test_shuffles_widen_with_the_data(spark, tmp_path, monkeypatch):
+    given = spark.conf.get("spark.sql.shuffle.partitions")
+    monkeypatch.setattr("epochfold.sources.replica._BYTES_PER_TASK", 100)
+    widths = []
+    store = ReplicaStore(spark, str(tmp_path / "replica"))
+    write = store._write
+
+    def spy(*args):
+        widths.append(int(spark.conf.get("spark.sql.shuffle.partitions")))
+        write(*args)
+
+    monkeypatch.setattr(store, "_write", spy)
+    table(spark, REPLICA).write.parquet(str(tmp_path / "source"))
+    store.initial_load(spark.read.parquet(str(tmp_path / "source")))
+    store.apply(table(spark, [(1, "2024-01-03", "2024-02-03", "x")]), APPEND_CLOSE)
+    assert min(widths) > int(given)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == given
+
+
 def test_catalog_merge_is_complete_up_to_the_table_format(spark):
     """Names and types resolve; what the container lacks is a table that takes row changes."""
     spark.sql("DROP TABLE IF EXISTS plain_replica")
