@@ -4,6 +4,7 @@ Layout below the root::
 
     to_month=.../from_month=.../   data files
     _schema.json                   column contract
+    _initial_load                  only while the first content is being written
     _staging/<run_id>/             keys, new content and manifest of an unfinished load
     _runs/stages/<run_id>.json     report of a finished load; its presence means "published"
     _runs/partitions/<run_id>.json row counts of the partitions that load changed
@@ -121,6 +122,7 @@ class ReplicaStore:
         self.file_bytes = file_bytes
         self.crowded = crowded
         self.tiny_bytes = tiny_bytes
+        self._unfinished = f"{self.root}/_initial_load"
         self._schema: T.StructType | None = None
 
     # -- reading -------------------------------------------------------------------------------
@@ -129,6 +131,8 @@ class ReplicaStore:
     def schema(self) -> T.StructType:
         """The replica's columns, month columns last and as text."""
         if self._schema is None:
+            if self.files.exists(self._unfinished):
+                raise LoadError(f"the initial load of {self.root} did not finish; repeat it")
             path = f"{self.root}/_schema.json"
             if self.files.exists(path):
                 self._schema = T.StructType.fromJson(json.loads(self.files.read_text(path)))
@@ -174,10 +178,15 @@ class ReplicaStore:
         size = 0 if clustered else _planned_bytes(rows)
         if not clustered:
             rows = self._rebalanced(rows)
+        if self.files.exists(self._unfinished):
+            self._each(lambda n: self.files.delete(f"{self.root}/{n}"), self._partition_roots())
         if not self._partition_roots():
+            self.files.make(self.root)
+            self.files.write_text(self._unfinished, "")
             with self._shuffling(size):
                 self._write(rows, self.root, "append")
             self._set_schema(schema)
+            self.files.delete(self._unfinished)
             return
         if not overwrite:
             raise LoadError(f"{self.root} already holds a replica")

@@ -222,6 +222,24 @@ def test_initial_load_over_a_replica(spark, new_store, publish):
     assert values(store.read()) == ["a", "d", "e", "m", "n"]
 
 
+def test_initial_load_cut_short(spark, new_store, monkeypatch):
+    store = new_store()
+    write = store._write
+
+    def partial(rows, *args):
+        write(rows.where("id < 4"), *args)
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(store, "_write", partial)
+    with pytest.raises(KeyboardInterrupt):
+        store.initial_load(table(spark, REPLICA))
+    again = ReplicaStore(spark, store.root)
+    with pytest.raises(replica_module.LoadError, match="did not finish"):
+        again.apply(table(spark, CASES["late"][0]), MERGE)
+    again.initial_load(table(spark, REPLICA))
+    assert values(again.read()) == sorted(r[3] for r in REPLICA)
+
+
 def test_replica_written_by_other_means(spark, tmp_path):
     """Partitioned files without our metadata, as an earlier loader leaves them."""
     root = str(tmp_path / "foreign")
