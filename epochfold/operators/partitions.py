@@ -51,25 +51,24 @@ def open_partitions(replica: DataFrame, contract: Contract = Contract()) -> Data
     )
 
 
-def replaced_counts(
+def replaced_rows(
     replica: DataFrame, keys: DataFrame, mode: str, contract: Contract = Contract()
 ) -> DataFrame:
-    """Per partition: rows whose version is in ``keys`` and how many of them are ambiguous.
+    """Version key and partition of the rows whose version is in ``keys``.
 
     Reads only the key columns of the replica.
     """
     if check_mode(mode) == APPEND_CLOSE:
         replica = replica.where(open_by_month(contract))
-    versions = replica.select(
-        *(col(c) for c in contract.version_key), *(col(c) for c in contract.partition_columns)
-    )
-    return (
-        on_version(versions, keys, "inner", contract)
-        .groupBy(*(col(c) for c in contract.partition_columns))
-        .agg(
-            F.count(F.lit(1)).alias("replaced"),
-            F.count_if(F.col(_ROWS) > 1).alias("ambiguous"),
-        )
+    wanted = [col(c) for c in contract.version_key + contract.partition_columns]
+    versions = replica.select(*wanted)
+    return on_version(versions, keys, "inner", contract).select(*wanted, col(_ROWS))
+
+
+def replaced_counts(replaced: DataFrame, contract: Contract = Contract()) -> DataFrame:
+    """Replaced rows per partition, and how many of them have several counterparts."""
+    return replaced.groupBy(*(col(c) for c in contract.partition_columns)).agg(
+        F.count(F.lit(1)).alias("replaced"), F.count_if(col(_ROWS) > 1).alias("ambiguous")
     )
 
 
@@ -80,7 +79,8 @@ def touched_partitions(
     keys = displacing_keys(prepared, mode, contract)
     parts = contract.partition_columns
     before = partition_counts(replica, contract).withColumnRenamed("rows", "rows_before")
-    replaced = replaced_counts(replica, keys, mode, contract).drop("ambiguous")
+    replaced = replaced_counts(replaced_rows(replica, keys, mode, contract), contract)
+    replaced = replaced.drop("ambiguous")
     incoming = partition_counts(prepared, contract).withColumnRenamed("rows", "incoming")
     every = before.unionByName(replaced, True).unionByName(incoming, True)
     total = {c: F.coalesce(F.sum(c), F.lit(0)) for c in ("rows_before", "replaced", "incoming")}

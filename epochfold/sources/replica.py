@@ -36,6 +36,7 @@ from epochfold.operators.partitions import (
     in_partitions,
     partition_counts,
     replaced_counts,
+    replaced_rows,
 )
 from epochfold.sources.files import RENAMING_SCHEMES, Files
 
@@ -251,23 +252,28 @@ class ReplicaStore:
 
             with self._stage(report, "keys") as row:
                 key_rows, key_months = self._key_bound(changes, mode)
-                keys = None
+                keys, small = None, False
                 if key_rows:
-                    keys, small = self._stage_keys(prepared, mode, stage, key_rows)
+                    keys, small = self._hinted(self._stage_keys(prepared, mode, stage), key_rows)
                 row.update(partitions=len(key_months), rows_in=key_rows, rows_out=key_rows)
 
             with self._stage(report, "detect") as row:
                 if keys is not None:
-                    self._detect(replica, keys, key_months, mode, changes)
+                    found = self._find_replaced(replica, keys, key_months, mode, stage, small)
+                    self._count_replaced(found, mode, changes)
                 self._count_before(replica, changes)
                 replaced = sum(c.replaced for c in changes.values())
+                if replaced and not small:
+                    # Of a large increment few keys may meet an old row: those are enough.
+                    found, small = self._hinted(found, replaced)
+                    keys = found if small else keys
                 before = sum(c.rows_before for c in changes.values())
                 row.update(partitions=len(changes), rows_in=before, rows_out=replaced)
 
             with self._stage(report, "stage") as row:
                 rewritten = [c for c in changes.values() if c.action == _REPLACE]
                 usages = self._usage([c for c in rewritten if c.rows_before])
-                as_read = bool(key_rows) and small and not self._wants_compaction(usages)
+                as_read = small and not self._wants_compaction(usages)
                 content = self._content(replica, prepared, keys, changes, as_read)
                 # The increment is taken to be as wide as the rows it replaces or joins.
                 size = sum(s for s, _ in usages)
@@ -323,39 +329,49 @@ class ReplicaStore:
         months = sorted({c.from_month for c in carriers if c.from_month is not None})
         return sum(c.incoming for c in carriers), months
 
-    def _stage_keys(
-        self, prepared: DataFrame, mode: str, stage: str, bound: int
-    ) -> tuple[DataFrame, bool]:
-        """The displacing keys as a table: used twice, and the same both times.
+    def _stage_keys(self, prepared: DataFrame, mode: str, stage: str) -> DataFrame:
+        """The displacing keys as a table: used twice, and the same both times."""
+        return self._staged_table(displacing_keys(prepared, mode, self.contract), f"{stage}/keys")
+
+    def _staged_table(self, rows: DataFrame, path: str) -> DataFrame:
+        rows.write.parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
+    def _hinted(self, keys: DataFrame, bound: int) -> tuple[DataFrame, bool]:
+        """Keys with a join hint, and whether that is to broadcast them.
 
         They are broadcast only if their number, known beforehand, and their fixed width prove
         them small. Otherwise the join is told to shuffle, rather than left to judge by the
         compressed size of the files.
         """
-        path = f"{stage}/keys"
-        keys = displacing_keys(prepared, mode, self.contract)
-        keys.write.format("parquet").save(path)
-        keys = self.spark.read.schema(keys.schema).parquet(path)
         fixed = all(
             isinstance(keys.schema[c].dataType, _FIXED_WIDTH) for c in self.contract.version_key
         )
         small = fixed and bound * _KEY_BYTES <= self.broadcast_bytes
         return (F.broadcast(keys) if small else keys.hint("merge")), small
 
-    def _detect(
+    def _find_replaced(
         self,
         replica: DataFrame,
         keys: DataFrame,
         months: list[str],
         mode: str,
-        changes: dict[Partition, PartitionChange],
-    ) -> None:
-        """Find the partitions that lose rows. Reads key columns of the months concerned only."""
+        stage: str,
+        small: bool,
+    ) -> DataFrame:
+        """Keys and partitions of replaced rows, from the key columns of the months concerned.
+
+        After a shuffle the result is written, as its keys may serve the next join.
+        """
         candidates = replica.where(col(self.contract.from_month).isin(months))
+        found = replaced_rows(candidates, keys, mode, self.contract)
+        return found if small else self._staged_table(found, f"{stage}/replaced")
+
+    def _count_replaced(
+        self, found: DataFrame, mode: str, changes: dict[Partition, PartitionChange]
+    ) -> None:
         ambiguous = 0
-        for to, start, replaced, clashes in replaced_counts(
-            candidates, keys, mode, self.contract
-        ).collect():
+        for to, start, replaced, clashes in replaced_counts(found, self.contract).collect():
             change = changes.setdefault((to, start), PartitionChange(to, start))
             change.replaced, change.action = replaced, _REPLACE
             ambiguous += clashes

@@ -104,7 +104,8 @@ def test_broadcast_needs_a_bound(spark, tmp_path):
     store.initial_load(table(spark, REPLICA))
     incoming = prepare(table(spark, [(1, "2024-01-03", "2024-02-03", "x")]), store.schema)
     for i, (bound, small) in enumerate([(1, True), (10_000_000, False)]):
-        keys, chosen = store._stage_keys(incoming, MERGE, str(tmp_path / f"stage{i}"), bound)
+        staged = store._stage_keys(incoming, MERGE, str(tmp_path / f"stage{i}"))
+        keys, chosen = store._hinted(staged, bound)
         assert chosen is small
         joined = apply.on_version(store.read(), keys, "left_anti", store.contract)
         plan = joined._jdf.queryExecution().executedPlan().toString()
@@ -134,6 +135,24 @@ def test_kept_rows_are_written_from_where_they_were_read(
     assert kept_rows_shuffled is (tiny_bytes > 0)
 
 
+def test_few_replaced_keys_of_a_large_increment_are_broadcast(spark, tmp_path, monkeypatch):
+    plans = []
+    store = ReplicaStore(spark, str(tmp_path / "replica"), tiny_bytes=0, broadcast_bytes=200)
+    store.initial_load(table(spark, REPLICA))
+    write = store._write
+
+    def spy(rows, path, *mode):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        write(rows, path, *mode)
+
+    monkeypatch.setattr(store, "_write", spy)
+    fresh = [(100 + i, "2024-01-03", "open", "x") for i in range(5)]
+    store.apply(table(spark, [*fresh, (1, "2024-01-03", "2024-02-03", "A")]), MERGE)
+    assert "BroadcastHashJoin" in plans[0] and "SortMergeJoin" not in plans[0]
+    assert plans[0].count("REBALANCE") == 1
+    assert sorted(r.v for r in store.read().collect()) == sorted("Abdemn") + ["x"] * 5
+
+
 def test_shuffles_widen_with_the_data(spark, tmp_path, monkeypatch):
     given = spark.conf.get("spark.sql.shuffle.partitions")
     monkeypatch.setattr("epochfold.sources.replica._BYTES_PER_TASK", 100)
