@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from epochfold.functions.months import open_by_month
 from epochfold.model import APPEND_CLOSE, Contract, check_mode, col
-from epochfold.operators.increment import ROWS, closed_keys, displacing_keys, version_keys
+from epochfold.operators.increment import ROWS, closed_keys, version_keys
 
-_ID, _FROM, _ROWS = "__key_id", "__key_from", "__key_rows"
+_ID, _FROM, KEY_ROWS = "__key_id", "__key_from", "__key_rows"
 CARDINALITY_ERROR = "MERGE: several increment rows carry the key of one replica row"
 
 
@@ -21,7 +21,7 @@ def on_version(rows: DataFrame, keys: DataFrame, how: str, contract: Contract) -
     marks = keys.select(
         col(contract.id).alias(_ID),
         col(contract.valid_from).alias(_FROM),
-        *([col(ROWS).alias(_ROWS)] if ROWS in keys.columns else []),
+        *([col(ROWS).alias(KEY_ROWS)] if ROWS in keys.columns else []),
     )
     same = (col(contract.id) == F.col(_ID)) & (col(contract.valid_from) == F.col(_FROM))
     return rows.join(marks, same, how)
@@ -69,11 +69,11 @@ def merge(replica: DataFrame, prepared: DataFrame, contract: Contract = Contract
     matched = on_version(replica, version_keys(prepared, contract), "left", contract)
     ambiguous = F.raise_error(F.lit(CARDINALITY_ERROR)).cast("boolean")
     keep = (
-        F.when(F.col(_ROWS).isNull(), F.lit(True))
-        .when(F.col(_ROWS) > 1, ambiguous)
+        F.when(F.col(KEY_ROWS).isNull(), F.lit(True))
+        .when(F.col(KEY_ROWS) > 1, ambiguous)
         .otherwise(F.lit(False))
     )
-    return matched.where(keep).drop(_ID, _FROM, _ROWS).unionByName(prepared)
+    return matched.where(keep).drop(_ID, _FROM, KEY_ROWS).unionByName(prepared)
 
 
 def _matches(
@@ -84,7 +84,7 @@ def _matches(
     return (
         on_version(versions, keys, "inner", contract)
         .groupBy(*(col(c) for c in contract.version_key))
-        .agg(F.max(_ROWS).alias(ROWS), F.count(F.lit(1)).alias("target_rows"))
+        .agg(F.max(KEY_ROWS).alias(ROWS), F.count(F.lit(1)).alias("target_rows"))
     )
 
 
@@ -121,14 +121,3 @@ def merge_conflicts(
     """Version keys for which ``merge`` fails: repeated in the increment, present in the replica."""
     repeated = version_keys(prepared, contract).where(F.col(ROWS) > 1)
     return _matches(replica, prepared, contract, repeated)
-
-
-__all__ = [
-    "append_close",
-    "displacing_keys",
-    "kept_rows",
-    "merge",
-    "merge_actions",
-    "merge_conflicts",
-    "surviving_open",
-]

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from epochfold.functions.months import closed_by_month, month_start, open_by_month
 from epochfold.model import APPEND_CLOSE, Contract, check_mode, col
-from epochfold.operators.apply import _ROWS, on_version
+from epochfold.operators.apply import KEY_ROWS, on_version
 from epochfold.operators.increment import displacing_keys
 
 Partition = tuple[str | None, str | None]
@@ -62,13 +62,13 @@ def replaced_rows(
         replica = replica.where(open_by_month(contract))
     wanted = [col(c) for c in contract.version_key + contract.partition_columns]
     versions = replica.select(*wanted)
-    return on_version(versions, keys, "inner", contract).select(*wanted, col(_ROWS))
+    return on_version(versions, keys, "inner", contract).select(*wanted, col(KEY_ROWS))
 
 
 def replaced_counts(replaced: DataFrame, contract: Contract = Contract()) -> DataFrame:
     """Replaced rows per partition, and how many of them have several counterparts."""
     return replaced.groupBy(*(col(c) for c in contract.partition_columns)).agg(
-        F.count(F.lit(1)).alias("replaced"), F.count_if(col(_ROWS) > 1).alias("ambiguous")
+        F.count(F.lit(1)).alias("replaced"), F.count_if(col(KEY_ROWS) > 1).alias("ambiguous")
     )
 
 

@@ -29,9 +29,8 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def initial(orders: DataFrame) -> DataFrame:
     """Every order as one open version, without month columns."""
-    return orders.select(
-        "id", "eff_from_dt", F.lit(CONTRACT.open_date).alias("eff_to_dt"), "cust_id", "status", "amount"
-    )
+    end = F.lit(CONTRACT.open_date).alias("eff_to_dt")
+    return orders.select("id", "eff_from_dt", end, "cust_id", "status", "amount")
 
 
 def replica(orders: DataFrame) -> DataFrame:

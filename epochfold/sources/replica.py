@@ -27,7 +27,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from epochfold.functions.months import closed_by_month
 from epochfold.model import APPEND_CLOSE, Contract, align, check_mode, col, text_months
 from epochfold.operators.apply import CARDINALITY_ERROR, on_version
 from epochfold.operators.increment import displacing_keys, prepare, with_months
@@ -52,7 +51,10 @@ _BYTES_PER_TASK = 128 << 20
 _MOST_TASKS = 20_000
 _FIXED_WIDTH = (T.NumericType, T.DatetimeType, T.BooleanType)
 
-STAGES = "run_id string, mode string, stage string, partitions long, rows_in long, rows_out long, seconds double"
+STAGES = (
+    "run_id string, mode string, stage string, partitions long, rows_in long, rows_out long, "
+    "seconds double"
+)
 PARTITIONS = (
     "run_id string, to_month string, from_month string, action string, "
     "rows_before long, replaced long, incoming long, rows_after long"
@@ -205,7 +207,6 @@ class ReplicaStore:
         }
         manifest = {
             "replace": sorted(staged, key=str),
-            "append": [],
             "remove": sorted(old - staged, key=str),
             "schema": schema.jsonValue(),
         }
@@ -254,13 +255,16 @@ class ReplicaStore:
                 key_rows, key_months = self._key_bound(changes, mode)
                 keys, small = None, False
                 if key_rows:
-                    keys, small = self._hinted(self._stage_keys(prepared, mode, stage), key_rows)
+                    with self._shuffling(self._key_bytes(prepared)):
+                        keys = self._stage_keys(prepared, mode, stage)
+                    keys, small = self._hinted(keys, key_rows)
                 row.update(partitions=len(key_months), rows_in=key_rows, rows_out=key_rows)
 
             with self._stage(report, "detect") as row:
                 if keys is not None:
-                    found = self._find_replaced(replica, keys, key_months, mode, stage, small)
-                    self._count_replaced(found, mode, changes)
+                    with self._shuffling(self._key_bytes(replica)):
+                        found = self._find_replaced(replica, keys, key_months, mode, stage, small)
+                        self._count_replaced(found, mode, changes)
                 self._count_before(replica, changes)
                 replaced = sum(c.replaced for c in changes.values())
                 if replaced and not small:
@@ -275,10 +279,7 @@ class ReplicaStore:
                 usages = self._usage([c for c in rewritten if c.rows_before])
                 as_read = small and not self._wants_compaction(usages)
                 content = self._content(replica, prepared, keys, changes, as_read)
-                # The increment is taken to be as wide as the rows it replaces or joins.
-                size = sum(s for s, _ in usages)
-                size += size / max(1, sum(c.rows_before for c in rewritten)) * total_in
-                with self._shuffling(size):
+                with self._shuffling(sum(s for s, _ in usages) + _planned_bytes(prepared)):
                     self._write(content, f"{stage}/content")
                 row.update(
                     partitions=len(changes),
@@ -298,7 +299,6 @@ class ReplicaStore:
             stage,
             {
                 "replace": [c.key for c in changes.values() if c.action == _REPLACE],
-                "append": [c.key for c in changes.values() if c.action == _APPEND],
                 "remove": removed,
                 "run_id": run_id,
                 "mode": mode,
@@ -326,7 +326,7 @@ class ReplicaStore:
             if c.from_month is not None
             and (mode != APPEND_CLOSE or c.to_month not in (None, open_month))
         ]
-        months = sorted({c.from_month for c in carriers if c.from_month is not None})
+        months = sorted({c.from_month for c in carriers})
         return sum(c.incoming for c in carriers), months
 
     def _stage_keys(self, prepared: DataFrame, mode: str, stage: str) -> DataFrame:
@@ -442,15 +442,18 @@ class ReplicaStore:
         enough = sum(1 + size // self.file_bytes for size, _ in usages)
         return files > self.crowded * enough or sum(s for s, _ in usages) < files * self.tiny_bytes
 
+    def _key_bytes(self, rows: DataFrame) -> int:
+        return _planned_bytes(rows.select(*(col(c) for c in self.contract.version_key)))
+
     @contextmanager
-    def _shuffling(self, size: float):
+    def _shuffling(self, size: int):
         """Shuffle partitions for ``size`` bytes of files, if the session has fewer.
 
         AQE joins partitions it does not need but cannot split evenly filled ones, so a load much
         larger than the session was set up for would otherwise spill all the way.
         """
         given = self.spark.conf.get(_WIDTH)
-        wanted = min(int(size) // _BYTES_PER_TASK, _MOST_TASKS)
+        wanted = min(size // _BYTES_PER_TASK, _MOST_TASKS)
         if wanted <= int(given):
             yield
             return
