@@ -14,6 +14,12 @@ from epochfold.plans import orders_history as history
 from epochfold.plans.scratch import shared_folder
 from epochfold.sources.replica import ReplicaStore
 
+try:  # the training-data operators and their pipeline can be left out as a whole
+    import corpus_pipeline
+    from epochfold.llm import queries as llm
+except ImportError:
+    corpus_pipeline = llm = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -239,7 +245,21 @@ def _text_dates(query: Query) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    return {query.__name__: _text_dates(query) for query in _QUERIES}
+    own = {query.__name__: _text_dates(query) for query in _QUERIES}
+    return own | _llm_queries()
+
+
+def _llm_queries() -> dict[str, Query]:
+    if llm is None:
+        return {}
+    return {query.__name__: query for query in llm.QUERIES} | {"pipeline": corpus_pipeline.run}
+
+
+def _llm_sql() -> dict[str, str]:
+    if llm is None:
+        return {}
+    whole = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return llm.ORACLE_SQL | whole
 
 
 # -- SQL counterparts -------------------------------------------------------------------------
@@ -369,7 +389,7 @@ SELECT eff_to_month, eff_from_month, CAST(COUNT(*) AS BIGINT) AS "rows"
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
+    return _llm_sql() | {
         "append_close": f"{_with()} SELECT {_ROW} FROM v1",
         "merge_upsert": f"{_with()} SELECT {_ROW} FROM v2",
         "append_close_late": f"{_with()} SELECT {_ROW} FROM late_v1",
