@@ -177,7 +177,8 @@ def encode(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
 
         return work
 
-    return map_texts(pick(df, id_col, text_col), make, "ids array<int>")
+    rows = pick(df, id_col, text_col)
+    return map_texts(rows, make, "ids array<int>", text_col, (id_col,))
 
 
 def decode(df: DataFrame, tokenizer: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from epochfold.llm import bpe, decontaminate, secret_scan, token_store
+from epochfold.llm import bpe, decontaminate, near_dup, secret_scan, token_store
 from epochfold.llm.shared import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -19,6 +19,10 @@ def op5_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.digests(token_store.round_trip(docs, TOKENIZER, end_id=2))
 
 
+def op6_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.components(table(spark, sf_dir, "documents"), percent=85)
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontaminate.report(decontaminate.find(docs, items))
@@ -35,9 +39,37 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     op5_token_planes,
+    op6_minhash_forest,
     op7_decontamination,
     op9_secret_scan,
     op10_bpe_round_trip,
 ]
 
 ORACLE_SQL: dict[str, str] = {}
+
+# -- SQL counterparts -------------------------------------------------------------------------
+
+_SMALL = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+#: Pairs of documents by shared shingles, then reachability over the links.
+ORACLE_SQL["op6_minhash_forest"] = f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all({_SMALL.format("text")}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) >= 5
+    THEN list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM words),
+sizes AS (SELECT doc_id, CAST(len(s) AS BIGINT) AS n FROM sets),
+shingles AS (SELECT doc_id, unnest(s) AS x FROM sets),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, COUNT(*) AS n_both FROM shingles a
+  JOIN shingles b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS (
+  SELECT a, b FROM shared JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+  WHERE 100 * n_both >= 85 * (p.n + q.n - n_both)),
+reached AS (
+  SELECT doc_id AS a, doc_id AS b FROM sizes
+  UNION SELECT reached.a, links.b FROM reached JOIN links ON reached.b = links.a),
+least AS (SELECT a AS doc_id, MIN(b) AS component_id FROM reached GROUP BY a)
+SELECT doc_id, n AS n_shingles, component_id, doc_id = component_id AS kept
+  FROM sizes JOIN least USING (doc_id)"""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -53,21 +53,26 @@ def slices(batch: pa.RecordBatch, column: int = 1, most: int = SLICE_BYTES) -> I
 
 
 def map_texts(
-    df: DataFrame, make: Callable[[], Callable[[list], list[pa.Array]]], added: str
+    df: DataFrame,
+    make: Callable[[], Callable[[list], list[pa.Array]]],
+    added: str,
+    text_col: str = "text",
+    keep: Sequence[str] = ("doc_id",),
 ) -> DataFrame:
-    """A frame of (id, text) with columns computed from the text in place of it.
+    """The columns `keep`, and columns computed from the texts.
 
     `make` runs once a task; what it returns gets a list of texts (None for null) and gives one
     array for each column of `added`. A text is passed as str, or as bytes if its column is binary.
     """
-    schema = T.StructType([df.schema[0], *T.StructType.fromDDL(added).fields])
-    names = schema.names
+    rows = df.select(*keep, F.col(text_col).alias("text of row"))
+    fields = [rows.schema[c] for c in keep] + T.StructType.fromDDL(added).fields
+    schema = T.StructType(fields)
 
     def run(batches):
         work = make()
         for batch in batches:
-            for part in slices(batch):
-                arrays = [part.column(0), *work(part.column(1).to_pylist())]
-                yield pa.RecordBatch.from_arrays(arrays, names=names)
+            for part in slices(batch, len(keep)):
+                arrays = [*part.columns[:-1], *work(part.column(len(keep)).to_pylist())]
+                yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
-    return df.mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)
