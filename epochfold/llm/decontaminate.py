@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from epochfold.llm.shared import pick, slices, stored
 
@@ -102,19 +103,26 @@ def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _scanned(rows: DataFrame, items: tuple, window: int, keep_text: bool) -> DataFrame:
-    """Rows of (doc_id, text) or (doc_id, text, n_words, hits, items), scanned for these items."""
+def _scanned(rows: DataFrame, items: tuple, window: int, keep: tuple, last: bool) -> DataFrame:
+    """The columns `keep`, n_words, hits and items of rows scanned for these items.
+
+    Rows that were scanned before have the last two already; unless it is the last scan, their text
+    is passed on.
+    """
     shared = rows.sparkSession.sparkContext.broadcast(items)
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    names = ["doc_id", *(["text"] if keep_text else []), "n_words", "hits", "items"]
+    before = "hits" in rows.columns
+    rows = rows.select("text of row", *keep, *(["hits", "items"] if before else []))
+    passed = [] if last else ["text of row"]
+    fields = [rows.schema[c] for c in [*passed, *keep]] + T.StructType.fromDDL(_SCHEMA).fields
+    schema = T.StructType(fields)
 
     def run(batches):
         automaton = _automaton(shared.value, window)
         for whole in batches:
-            for batch in slices(whole):
+            for batch in slices(whole, 0):
                 n_words, hits, found = [], [], []
-                old = batch.select(["hits", "items"]).to_pylist() if "hits" in batch.schema.names else None
-                for i, text in enumerate(batch.column(1).to_pylist()):
+                old = batch.select(["hits", "items"]).to_pylist() if before else None
+                for i, text in enumerate(batch.column(0).to_pylist()):
                     n, ranges, which = scan(automaton, text)
                     if old:
                         ranges = merged(ranges + [(h["word"], h["end"]) for h in old[i]["hits"]])
@@ -123,21 +131,28 @@ def _scanned(rows: DataFrame, items: tuple, window: int, keep_text: bool) -> Dat
                     found.append(sorted(which))
                     spans = zip(ranges, original(text, ranges), strict=True)
                     hits.append([dict(zip(_HIT, (*a, *b), strict=True)) for a, b in spans])
-                columns = [batch.column(0), *([batch.column(1)] if keep_text else [])]
+                columns = batch.columns[0 if passed else 1 : 1 + len(keep)]
                 columns += [pa.array(n_words, pa.int64()), pa.array(hits, _HITS)]
                 columns.append(pa.array(found, pa.list_(pa.int64())))
-                yield pa.RecordBatch.from_arrays(columns, names=names)
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return rows.mapInArrow(run, f"doc_id {kind}, {'text string, ' * keep_text}{_SCHEMA}")
+    return rows.mapInArrow(run, schema)
 
 
 def find(
-    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, most_bytes: int = AUTOMATON_BYTES
+    docs: DataFrame,
+    benchmark: DataFrame,
+    window: int = WINDOW,
+    most_bytes: int = AUTOMATON_BYTES,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    keep: tuple = (),
 ) -> DataFrame:
-    """(doc_id, n_words, hits array<struct<word, end, from, to>>, items array<bigint>) of every row.
+    """`keep`, or else (doc_id), and (n_words, hits, items) of every row.
 
-    `hits` are the maximal runs of hit words, by word number and by character of the original text;
-    `items` the ids of the items that have a window in the text, in ascending order.
+    `hits` array<struct<word, end, from, to>> are the maximal runs of hit words, by word number and by
+    character of the original text;
+    `items` array<bigint> are the ids of the items that have a window in the text, in ascending order.
 
     A null text has no words; an empty benchmark hits nothing; items without an id, without words
     or with a null text are in no text; an item id that occurs twice is one item; equal rows of
@@ -147,7 +162,9 @@ def find(
     scanned once. Beyond that the items are dealt to automata of about that size, one is broadcast
     and scanned after the other, and the rows are stored in between.
     """
-    rows = pick(docs, "doc_id", "text")
+    text = {"text of row": text_col}
+    rows = docs.withColumn("text of row", F.col(text_col)) if keep else pick(docs, doc_id=id_col, **text)
+    keep = keep or ("doc_id",)
     items = pick(benchmark, "item_id", "text").where("item_id is not null and text is not null")
     items = items.withColumn("item_id", F.col("item_id").cast("long"))
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -155,7 +172,7 @@ def find(
     shard = F.pmod(F.xxhash64("item_id", "text"), F.lit(n))
     for k in range(n):
         share = tuple(map(tuple, items.where(shard == k).collect()))
-        rows = _scanned(rows, share, window, keep_text=k < n - 1)
+        rows = _scanned(rows, share, window, keep, last=k == n - 1)
         rows = stored(rows, "decontamination") if k < n - 1 else rows
     return rows
 

@@ -7,12 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from epochfold.llm import bpe, decontaminate, near_dup, secret_scan, token_store
-from epochfold.llm.shared import table
+from epochfold.llm import bpe, decontaminate, lines, near_dup, quality, secret_scan, token_store
+from epochfold.llm.shared import pick, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op4_quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = pick(table(spark, sf_dir, "documents"), "doc_id", "text")
+    scored = quality.score(docs, table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
+
+
 def op5_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of all documents, written as bit planes and read back."""
     docs = table(spark, sf_dir, "documents")
@@ -28,6 +34,11 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(decontaminate.find(docs, items))
 
 
+def op8_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line with the first occurrence of its group."""
+    return lines.groups(table(spark, sf_dir, "documents"))
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.report(secret_scan.find(table(spark, sf_dir, "documents")))
 
@@ -38,9 +49,11 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
+    op4_quality_score,
     op5_token_planes,
     op6_minhash_forest,
     op7_decontamination,
+    op8_fuzzy_lines,
     op9_secret_scan,
     op10_bpe_round_trip,
 ]

@@ -21,11 +21,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def pick(df: DataFrame, *names: str, **renamed: str) -> DataFrame:
-    """Columns by exact name, also if others differ only by case or repeat a name (the first counts)."""
+    """Columns by exact name, also if others differ only by case or repeat a name (the first counts).
+
+    `renamed` has the old names by the new ones.
+    """
     at = {}
     for i, column in enumerate(df.columns):
         at.setdefault(column, i)
-    wanted = {name: name for name in names} | {new: old for old, new in renamed.items()}
+    wanted = {name: name for name in names} | renamed
     if missing := [old for old in wanted.values() if old not in at]:
         raise ValueError(f"no column {', '.join(missing)} among {', '.join(df.columns)}")
     numbered = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
