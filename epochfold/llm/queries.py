@@ -7,12 +7,25 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from epochfold.llm import bpe, decontaminate, lines, near_dup, quality, secret_scan, token_store
+from epochfold.llm import bpe, chat, decontaminate, embeddings, lines, near_dup, quality, secret_scan, token_store, warc
 from epochfold.llm.shared import pick, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every segment of every dialogue from every speaker's point of view."""
+    return chat.listed(chat.rotate(table(spark, sf_dir, "conversations")))
+
+
+def op2_subspace_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.duplicates(table(spark, sf_dir, "embeddings"), 0.98)
+
+
+def op3_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.payloads(warc.round_trip(table(spark, sf_dir, "pages"), least_bytes=0))
+
+
 def op4_quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = pick(table(spark, sf_dir, "documents"), "doc_id", "text")
     scored = quality.score(docs, table(spark, sf_dir, "labels"))
@@ -49,6 +62,9 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
+    op1_perspectives,
+    op2_subspace_join,
+    op3_warc_chunks,
     op4_quality_score,
     op5_token_planes,
     op6_minhash_forest,
@@ -86,3 +102,87 @@ reached AS (
 least AS (SELECT a AS doc_id, MIN(b) AS component_id FROM reached GROUP BY a)
 SELECT doc_id, n AS n_shingles, component_id, doc_id = component_id AS kept
   FROM sizes JOIN least USING (doc_id)"""
+
+#: Turns in order within segments; offsets by sums over the turns before.
+ORACLE_SQL["op1_perspectives"] = """
+WITH turns AS (
+  SELECT conv_id, turn >> 5 AS block, turn,
+         COALESCE(NULLIF(regexp_replace(trim(role), '[\\s<>|]+', '_', 'g'), ''), 'unknown') AS name,
+         replace(COALESCE(text, ''), '<|', '< |') AS body FROM conversations),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, block ORDER BY turn, name, body) - 1 AS pos FROM turns),
+speakers AS (SELECT DISTINCT conv_id, name AS speaker FROM turns WHERE name <> 'system'),
+rendered AS (
+  SELECT conv_id, speaker, block, pos >> 5 AS part, pos, name = speaker AS own, body,
+         '<|im_start|>' || CASE WHEN name = 'system' THEN 'system' WHEN name = speaker THEN 'assistant'
+           ELSE 'user name=' || name END || chr(10) AS head
+    FROM numbered JOIN speakers USING (conv_id)),
+placed AS (
+  SELECT *, head || body || '<|im_end|>' || chr(10) AS whole,
+         COALESCE(SUM(length(head || body || '<|im_end|>' || chr(10))) OVER (
+           PARTITION BY conv_id, speaker, block, part ORDER BY pos
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM rendered)
+SELECT conv_id, speaker, block, CAST(part AS INT) AS part, CAST(COUNT(*) AS INT) AS n_turns,
+       string_agg(whole, '' ORDER BY pos) AS text,
+       COALESCE(string_agg(CAST(start + length(head) AS BIGINT) || '-'
+         || CAST(start + length(whole) - 1 AS BIGINT), ',' ORDER BY pos) FILTER (WHERE own), '') AS mask
+  FROM placed GROUP BY conv_id, speaker, block, part"""
+
+#: All pairs of a label.
+ORACLE_SQL["op2_subspace_join"] = """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a
+  JOIN usable b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.98),
+reached AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings
+  UNION SELECT reached.a, links.b FROM reached JOIN links ON reached.b = links.a),
+least AS (SELECT a AS vec_id, MIN(b) AS component_id FROM reached GROUP BY a),
+counted AS (SELECT a AS vec_id, COUNT(*) AS n FROM links GROUP BY a)
+SELECT vec_id, CAST(COALESCE(n, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
+  FROM embeddings JOIN least USING (vec_id) LEFT JOIN counted USING (vec_id)"""
+
+#: The SHA-1 in groups of five hexadecimal digits, each four letters of base 32.
+ORACLE_SQL["op3_warc_chunks"] = """
+WITH sized AS (
+  SELECT page_id, CAST(strlen(COALESCE(html, '')) AS BIGINT) AS payload_bytes,
+         sha1(COALESCE(html, '')) AS hex FROM pages),
+latest AS (SELECT hex, COUNT(*) AS n, MAX(page_id) AS latest FROM sized GROUP BY hex)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         CAST(((CAST('0x' || substr(hex, (i // 4) * 5 + 1, 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31) + 1 AS INT),
+         1)), '') AS payload_digest,
+       CASE WHEN n > 1 AND page_id <> latest THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n > 1 AND page_id <> latest THEN latest END AS refers_to
+  FROM sized JOIN latest USING (hex)"""
+
+#: Windows of documents joined with windows of items, for each length that item windows have.
+ORACLE_SQL["op7_decontamination"] = f"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all({_SMALL.format("COALESCE(text, '')")},
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all({_SMALL.format("text")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
+item_windows AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS k, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS x
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 8, 2))) AS i FROM b WHERE len(w) > 0)),
+doc_windows AS (
+  SELECT doc_id, k, i, array_to_string(w[i:i + k - 1], ' ') AS x
+  FROM (SELECT doc_id, w, k, unnest(range(1, greatest(len(w) - k + 2, 1))) AS i
+          FROM d, (SELECT DISTINCT k FROM item_windows))),
+hits AS (SELECT doc_id, item_id, i, k FROM doc_windows JOIN item_windows USING (k, x)),
+words AS (SELECT doc_id, COUNT(DISTINCT p) AS n_hit FROM (
+  SELECT doc_id, unnest(range(i, i + k)) AS p FROM hits) GROUP BY doc_id),
+items AS (SELECT doc_id, COUNT(*) AS n_items,
+    string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS listed
+  FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(COALESCE(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(COALESCE(n_items, 0) AS BIGINT) AS n_items, sha256(COALESCE(listed, '')) AS items_sha256,
+       n_hit IS NOT NULL AS contaminated
+  FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)"""

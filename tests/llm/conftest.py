@@ -12,7 +12,7 @@ def sf_dir():
 def rows(spark):
     """A frame from rows and a schema, with columns whose names clash with those used."""
 
-    def make(schema, data, **extra):
+    def make(schema, data, /, **extra):
         df = spark.createDataFrame(data, schema)
         for name, value in extra.items():
             df = df.selectExpr("*", f"{value} as `{name}`")
