@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from heapq import heapify, heappop, heappush
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from epochfold.llm.byte_bpe import SHIFT, Vocabulary, read_file, vocabulary
 from epochfold.llm.shared import map_texts, pick
 
-#: Encoded chunks that a task remembers. Beyond that it forgets all; no result depends on it.
-REMEMBERED = 1_000_000
+#: Chunks of text, and words, that a task remembers.
+REMEMBERED = 700_000
 
 
 def merge_words(words: list[bytes], vocab: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
@@ -119,46 +121,77 @@ def totals(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return sums[ends] - sums[ends - sizes]
 
 
+class Known:
+    """Runs of ids by the text they stand for: a task's memory, with a bound.
+
+    Beyond the bound, texts that only one call needed are forgotten, and all if that is not enough.
+    Nothing depends on what is remembered but the time taken.
+    """
+
+    def __init__(self, bound: int):
+        self.bound = bound
+        self.numbers: dict[str, int] = {}
+        self.runs, self.uses = Runs(), np.zeros(0, np.int32)
+
+    def unknown(self, texts: Iterable[str]) -> list[str]:
+        if len(self.numbers) > self.bound:
+            self._trim()
+        return list(set(texts).difference(self.numbers))
+
+    def add(self, texts: list[str], flat: np.ndarray, counts: np.ndarray) -> None:
+        self.runs.add(flat, counts)
+        self.numbers.update(zip(texts, range(len(self.numbers), 1 << 62)))
+        self.uses = np.concatenate([self.uses, np.zeros(len(texts), np.int32)])
+
+    def __call__(self, texts: Iterable[str], n: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of n texts, one after another, and how many each has."""
+        at = np.fromiter(map(self.numbers.__getitem__, texts), np.int64, n)
+        self.uses[at] += 1
+        return self.runs(at)
+
+    def _trim(self) -> None:
+        keep = np.flatnonzero(self.uses > 1)
+        if len(keep) > self.bound // 2:
+            keep = keep[:0]
+        texts = list(self.numbers)
+        texts, (flat, counts) = [texts[i] for i in keep.tolist()], self.runs(keep)
+        self.numbers, self.runs, self.uses = {}, Runs(), np.zeros(0, np.int32)
+        self.add(texts, flat, counts)
+
+
 class Encoder:
-    """Encodes texts; remembers the chunks and words it has seen, up to a bound."""
+    """Encodes texts; remembers chunks and words."""
 
     def __init__(self, vocab: Vocabulary, remembered: int = REMEMBERED):
-        self.vocab, self.remembered = vocab, remembered
-        self.forget()
-
-    def forget(self) -> None:
-        self.pieces: dict[str, int] = {}
-        self.words: dict[str, int] = {}
-        self.of_piece, self.of_word = Runs(), Runs()
+        self.vocab, self.pieces, self.words = vocab, Known(remembered), Known(remembered)
 
-    def learn(self, new: list[str]) -> None:
+    def _learn(self, new: list[str]) -> None:
         vocab = self.vocab
         parts = [[p] if p in vocab.special else vocab.split(p) for p in new]
         sizes = np.fromiter(map(len, parts), np.int64, len(parts))
-        words = list(set(chain.from_iterable(parts)).difference(self.words))
+        words = self.words.unknown(chain.from_iterable(parts))
         special = [w for w in words if w in vocab.special]
         plain = [w for w in words if w not in vocab.special]
-        self.of_word.add(*merge_words([w.encode() for w in plain], vocab))
+        self.words.add(plain, *merge_words([w.encode() for w in plain], vocab))
         ids = np.asarray([vocab.special[w] for w in special], np.int32)
-        self.of_word.add(ids, np.ones(len(ids), np.int64))
-        self.words.update(zip(plain + special, range(len(self.words), 1 << 62)))
-        numbers = map(self.words.__getitem__, chain.from_iterable(parts))
-        flat, counts = self.of_word(np.fromiter(numbers, np.int64, int(sizes.sum())))
-        self.of_piece.add(flat, totals(counts, sizes))
-        self.pieces.update(zip(new, range(len(self.pieces), 1 << 62)))
+        self.words.add(special, ids, np.ones(len(ids), np.int64))
+        flat, counts = self.words(chain.from_iterable(parts), int(sizes.sum()))
+        self.pieces.add(new, flat, totals(counts, sizes))
 
     def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one after another, and how many each text has."""
         cut = [self.vocab.pieces(text) if text else [] for text in texts]
-        if len(self.pieces) > self.remembered:
-            self.forget()
-        self.learn(list(set(chain.from_iterable(cut)).difference(self.pieces)))
+        self._learn(self.pieces.unknown(chain.from_iterable(cut)))
         sizes = np.fromiter(map(len, cut), np.int64, len(cut))
-        numbers = map(self.pieces.__getitem__, chain.from_iterable(cut))
-        flat, counts = self.of_piece(np.fromiter(numbers, np.int64, int(sizes.sum())))
+        flat, counts = self.pieces(chain.from_iterable(cut), int(sizes.sum()))
         return flat, totals(counts, sizes)
 
 
+def _lists(flat: np.ndarray, counts: np.ndarray) -> pa.ListArray:
+    offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()))
+
+
 def encode(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, ids array<int>) of every text, as the tokenizers library encodes it.
 
@@ -171,9 +204,7 @@ def encode(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
         encoder = Encoder(vocabulary(source.value))
 
         def work(texts):
-            flat, counts = encoder(texts)
-            offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
-            return [pa.ListArray.from_arrays(offsets, pa.array(flat))]
+            return [_lists(*encoder(texts))]
 
         return work
 
@@ -181,6 +212,22 @@ def encode(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     return map_texts(rows, make, "ids array<int>", text_col, (id_col,))
 
 
+class Decoder:
+    """Texts of lists of ids; special tokens are kept."""
+
+    def __init__(self, vocab: Vocabulary):
+        self.table = np.full(max(vocab.bytes_of) + 1, b"", object)
+        for i, data in vocab.bytes_of.items():
+            self.table[i] = data
+
+    def __call__(self, flat: np.ndarray, counts: np.ndarray) -> list[str]:
+        parts = self.table[np.where((flat >= 0) & (flat < len(self.table)), flat, 0)]
+        parts[(flat < 0) | (flat >= len(self.table))] = b""
+        ends = np.cumsum(counts)
+        runs = zip((ends - counts).tolist(), ends.tolist(), strict=True)
+        return [b"".join(parts[a:b].tolist()).decode("utf-8", "replace") for a, b in runs]
+
+
 def decode(df: DataFrame, tokenizer: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """(id, ids, text) of every list of ids; special tokens are kept.
 
@@ -192,22 +239,39 @@ def decode(df: DataFrame, tokenizer: str, id_col: str = "doc_id", ids_col: str =
     kind = rows.schema[0].dataType.simpleString()
 
     def run(batches):
-        vocab = vocabulary(source.value)
-        table = np.full(max(vocab.bytes_of) + 1, b"", object)
-        for i, b in vocab.bytes_of.items():
-            table[i] = b
+        decoder = Decoder(vocabulary(source.value))
         for batch in batches:
-            texts = []
-            for x in batch.column(1):
-                ids = np.asarray(x.values) if x.is_valid else np.zeros(0, np.int32)
-                known = ids[(ids >= 0) & (ids < len(table))]
-                texts.append(b"".join(table[known].tolist()).decode("utf-8", "replace"))
-            out = [batch.column(0), batch.column(1), pa.array(texts, pa.string())]
-            yield pa.RecordBatch.from_arrays(out, names=[id_col, ids_col, "text"])
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                ids = part.column(1)
+                counts = np.asarray(pc.fill_null(pc.list_value_length(ids), 0), np.int64)
+                texts = decoder(np.asarray(ids.flatten()), counts)
+                out = [part.column(0), ids, pa.array(texts, pa.string())]
+                yield pa.RecordBatch.from_arrays(out, names=[id_col, ids_col, "text"])
 
     return rows.mapInArrow(run, f"`{id_col}` {kind}, `{ids_col}` array<int>, text string")
 
 
+def round_trip(
+    df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """(id, ids, text) as `decode` after `encode`, in one pass: the text is made from the ids."""
+    source = df.sparkSession.sparkContext.broadcast(read_file(tokenizer))
+
+    def make():
+        encoder, decoder = Encoder(vocabulary(source.value)), Decoder(vocabulary(source.value))
+
+        def work(texts):
+            flat, counts = encoder(texts)
+            decoded = pa.array(decoder(flat, counts), pa.string())
+            return [_lists(flat, counts), decoded]
+
+        return work
+
+    rows = pick(df, id_col, text_col)
+    return map_texts(rows, make, "ids array<int>, text string", text_col, (id_col,))
+
+
 def digests(decoded: DataFrame) -> DataFrame:
     """The outputs of `decode` as counts and digests."""
     return decoded.select(

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from epochfold.llm.bpe import Runs, totals
+from epochfold.llm.bpe import REMEMBERED, Known, totals
 from epochfold.llm.shared import map_texts, pick
 
 #: Rows of the table of word vectors, and their length. 4 MB as 64-bit integers, whatever the data.
@@ -30,8 +30,6 @@ SAMPLE = 6000
 #: Of these, one in so many calibrates the temperature instead.
 HOLD = 5
 HIDDEN, EPOCHS, RATE = 32, 60, 0.004
-#: Raw words that a task remembers.
-REMEMBERED = 1_000_000
 
 _PART = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+")
 
@@ -49,28 +47,19 @@ class Words:
     """Texts as bucket numbers of their words and signs, case ignored."""
 
     def __init__(self, remembered: int = REMEMBERED):
-        self.remembered = remembered
-        self.forget()
-
-    def forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.runs = Runs()
+        self.known = Known(remembered)
 
     def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """The buckets of all texts, one text after another, and how many each text has."""
         cut = [text.split() if text else [] for text in texts]
-        if len(self.known) > self.remembered:
-            self.forget()
-        new = list(set(chain.from_iterable(cut)).difference(self.known))
+        new = self.known.unknown(chain.from_iterable(cut))
         parts = [_PART.findall(word.lower()) for word in new]
         encoded = (p.encode("utf-8", "surrogatepass") for p in chain.from_iterable(parts))
         counts = np.fromiter(map(len, parts), np.int64, len(parts))
         flat = np.fromiter((zlib.crc32(p) % BUCKETS for p in encoded), np.int32, int(counts.sum()))
-        self.runs.add(flat, counts)
-        self.known.update(zip(new, range(len(self.known), 1 << 62)))
+        self.known.add(new, flat, counts)
         sizes = np.fromiter(map(len, cut), np.int64, len(cut))
-        numbers = map(self.known.__getitem__, chain.from_iterable(cut))
-        buckets, counts = self.runs(np.fromiter(numbers, np.int64, int(sizes.sum())))
+        buckets, counts = self.known(chain.from_iterable(cut), int(sizes.sum()))
         return buckets, totals(counts, sizes)
 
 

@@ -57,8 +57,7 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = bpe.encode(table(spark, sf_dir, "documents"), TOKENIZER)
-    return bpe.digests(bpe.decode(encoded, TOKENIZER))
+    return bpe.digests(bpe.round_trip(table(spark, sf_dir, "documents"), TOKENIZER))
 
 
 QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [

@@ -111,7 +111,7 @@ def bucket(feature: str) -> int:
 class Scores:
     """Turns tokens into scores of the tags; remembers the tokens it has seen, up to a bound."""
 
-    def __init__(self, weights: np.ndarray, remembered: int = 500_000):
+    def __init__(self, weights: np.ndarray, remembered: int = 300_000):
         self.weights, self.remembered = weights, remembered
         self.forget()
 

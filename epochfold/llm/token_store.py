@@ -24,15 +24,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from epochfold.llm.bpe import Runs, totals
+from epochfold.llm.bpe import REMEMBERED, Known, totals
 from epochfold.llm.byte_bpe import chunks, read_file
 from epochfold.llm.shared import pick, shared_folder, slices
 
 MAGIC = b"IDPLANES"
 #: Ids in a block. A multiple of 8, so that bit planes fill whole bytes.
 BLOCK = 1 << 16
-#: Chunks of text that a task remembers the ids of.
-REMEMBERED = 1_000_000
 
 
 # -- blocks and planes ------------------------------------------------------------------------
@@ -165,9 +163,7 @@ class LibraryEncoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.end_id, self.remembered = end_id, remembered
-        self.known: dict[str, int] = {}
-        self.runs = Runs()
+        self.end_id, self.known = end_id, Known(remembered)
 
     def _ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ids = [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
@@ -175,19 +171,15 @@ class LibraryEncoder:
         return np.fromiter(chain.from_iterable(ids), np.int32, int(counts.sum())), counts
 
     def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.known) > self.remembered:
-            self.known, self.runs = {}, Runs()
         # a text with a special token is one piece: white space beside the token must not be cut
         cut = [
             ([text] if any(s in text for s in self.special) else chunks(text)) if text else []
             for text in texts
         ]
-        new = list(set(chain.from_iterable(cut)).difference(self.known))
-        self.runs.add(*self._ids(new))
-        self.known.update(zip(new, range(len(self.known), 1 << 62)))
+        new = self.known.unknown(chain.from_iterable(cut))
+        self.known.add(new, *self._ids(new))
         sizes = np.fromiter(map(len, cut), np.int64, len(cut))
-        numbers = map(self.known.__getitem__, chain.from_iterable(cut))
-        flat, counts = self.runs(np.fromiter(numbers, np.int64, int(sizes.sum())))
+        flat, counts = self.known(chain.from_iterable(cut), int(sizes.sum()))
         counts = totals(counts, sizes)
         if self.end_id is None:
             return flat, counts

@@ -112,7 +112,10 @@ def test_bpe_edges(rows):
     got = {r.doc_id: (r.ids, r.text) for r in bpe.decode(encoded, TOKENIZER).collect()}
     for i, text in enumerate(ODD):
         assert got[i] == (library(text), text or "")
+    once = {r.doc_id: (r.ids, r.text) for r in bpe.round_trip(df, TOKENIZER).collect()}
+    assert once == got
     assert bpe.encode(df.limit(0), TOKENIZER).count() == 0
+    assert bpe.round_trip(df.limit(0), TOKENIZER).count() == 0
 
 
 def test_decode_of_odd_ids(rows):
