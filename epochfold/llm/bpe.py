@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable
 from heapq import heapify, heappop, heappush
-from itertools import chain
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from epochfold.llm.byte_bpe import SHIFT, Vocabulary, read_file, vocabulary
+from epochfold.llm.byte_bpe import SHIFT, Vocabulary, cut, read_file, unkeyed, vocabulary
 from epochfold.llm.shared import map_texts, pick
 
 #: Chunks of text, and words, that a task remembers.
@@ -128,26 +128,36 @@ class Known:
     Nothing depends on what is remembered but the time taken.
     """
 
-    def __init__(self, bound: int):
-        self.bound = bound
+    def __init__(self, learn: Callable, bound: int):
+        #: From a list of new texts to their ids, one after another, and how many each has.
+        self.learn, self.bound = learn, bound
         self.numbers: dict[str, int] = {}
         self.runs, self.uses = Runs(), np.zeros(0, np.int32)
 
-    def unknown(self, texts: Iterable[str]) -> list[str]:
-        if len(self.numbers) > self.bound:
-            self._trim()
-        return list(set(texts).difference(self.numbers))
-
     def add(self, texts: list[str], flat: np.ndarray, counts: np.ndarray) -> None:
         self.runs.add(flat, counts)
         self.numbers.update(zip(texts, range(len(self.numbers), 1 << 62)))
         self.uses = np.concatenate([self.uses, np.zeros(len(texts), np.int32)])
 
-    def __call__(self, texts: Iterable[str], n: int) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of n texts, one after another, and how many each has."""
-        at = np.fromiter(map(self.numbers.__getitem__, texts), np.int64, n)
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the texts, one after another, and how many each has; new ones are learned."""
+        if len(self.numbers) > self.bound:
+            self._trim()
+        coded = texts.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        at = np.fromiter(map(self.numbers.get, distinct, repeat(-1)), np.int64, len(distinct))
+        missing = np.flatnonzero(at < 0).tolist()
+        if missing:
+            new = [distinct[i] for i in missing]
+            at[missing] = np.arange(len(missing)) + len(self.numbers)
+            self.add(new, *self.learn(new))
         self.uses[at] += 1
-        return self.runs(at)
+        return self.runs(at[np.asarray(coded.indices)])
+
+    def grouped(self, texts: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+        """As a call, with one count for each list."""
+        flat, counts = self(texts.flatten())
+        return flat, totals(counts, np.asarray(pc.list_value_length(texts), np.int64))
 
     def _trim(self) -> None:
         keep = np.flatnonzero(self.uses > 1)
@@ -163,28 +173,30 @@ class Encoder:
     """Encodes texts; remembers chunks and words."""
 
     def __init__(self, vocab: Vocabulary, remembered: int = REMEMBERED):
-        self.vocab, self.pieces, self.words = vocab, Known(remembered), Known(remembered)
-
-    def _learn(self, new: list[str]) -> None:
-        vocab = self.vocab
-        parts = [[p] if p in vocab.special else vocab.split(p) for p in new]
-        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
-        words = self.words.unknown(chain.from_iterable(parts))
-        special = [w for w in words if w in vocab.special]
-        plain = [w for w in words if w not in vocab.special]
-        self.words.add(plain, *merge_words([w.encode() for w in plain], vocab))
-        ids = np.asarray([vocab.special[w] for w in special], np.int32)
-        self.words.add(special, ids, np.ones(len(ids), np.int64))
-        flat, counts = self.words(chain.from_iterable(parts), int(sizes.sum()))
-        self.pieces.add(new, flat, totals(counts, sizes))
-
-    def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        self.vocab = vocab
+        self.pieces = Known(self._pieces, remembered)
+        self.words = Known(self._words, remembered)
+
+    def _words(self, new: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        special = self.vocab.special
+        if not special.keys().isdisjoint(new):
+            one = [w for w in new if w in special]
+            rest = dict(zip(one, ([special[w]] for w in one), strict=True))
+            plain = [w for w in new if w not in special]
+            flat, counts = merge_words([w.encode() for w in plain], self.vocab)
+            runs = np.split(flat, np.cumsum(counts)[:-1]) if plain else []
+            rest.update(zip(plain, runs, strict=True))
+            ids = [np.asarray(rest[w], np.int32) for w in new]
+            return np.concatenate(ids), np.asarray(list(map(len, ids)), np.int64)
+        return merge_words([w.encode() for w in new], self.vocab)
+
+    def _pieces(self, new: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        parts = self.vocab.parts
+        return self.words.grouped(pa.array([parts(unkeyed(key)) for key in new], pa.list_(pa.string())))
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one after another, and how many each text has."""
-        cut = [self.vocab.pieces(text) if text else [] for text in texts]
-        self._learn(self.pieces.unknown(chain.from_iterable(cut)))
-        sizes = np.fromiter(map(len, cut), np.int64, len(cut))
-        flat, counts = self.pieces(chain.from_iterable(cut), int(sizes.sum()))
-        return flat, totals(counts, sizes)
+        return self.pieces.grouped(cut(texts, self.vocab.special))
 
 
 def _lists(flat: np.ndarray, counts: np.ndarray) -> pa.ListArray:
@@ -209,7 +221,7 @@ def encode(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
         return work
 
     rows = pick(df, id_col, text_col)
-    return map_texts(rows, make, "ids array<int>", text_col, (id_col,))
+    return map_texts(rows, make, "ids array<int>", text_col, (id_col,), arrow=True)
 
 
 class Decoder:
@@ -269,7 +281,7 @@ def round_trip(
         return work
 
     rows = pick(df, id_col, text_col)
-    return map_texts(rows, make, "ids array<int>, text string", text_col, (id_col,))
+    return map_texts(rows, make, "ids array<int>, text string", text_col, (id_col,), arrow=True)
 
 
 def digests(decoded: DataFrame) -> DataFrame:

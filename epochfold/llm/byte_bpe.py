@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterable
 from functools import lru_cache
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 #: How this kind of vocabulary splits a text before merging. White space is spelled
@@ -33,14 +37,53 @@ def chunks(text: str) -> list[str]:
     The splitting rule never joins characters across such a place, so each chunk encodes as it
     does within the text. That does not hold around special tokens; look for them first.
     """
-    parts = text.split(" ")
-    out = [parts[0]]
-    for part in parts[1:]:
+    first, *rest = text.split(" ")
+    out = [first]
+    for part in rest:
         if part and not part[0].isspace():
             out.append(" " + part)
         else:
             out[-1] += " " + part
-    return out if out != [""] else []
+    return [chunk for chunk in out if chunk]
+
+
+#: A space that white space or nothing follows, in the syntax of Arrow's expressions.
+_ODD_SPACE = r" ([\x{9}-\x{D}\x{1C}-\x{20}\x{85}\p{Z}]|\z)"
+#: Ahead of a chunk that does not begin with a space.
+_BARE = "\0"
+
+
+def keyed(chunk: str) -> str:
+    """A chunk without the space it begins with, or marked as having none."""
+    return chunk[1:] if chunk[0] == " " else _BARE + chunk
+
+
+def unkeyed(key: str) -> str:
+    return key[1:] if key[:1] == _BARE else " " + key
+
+
+def cut(texts: pa.Array, special: Iterable[str]) -> pa.ListArray:
+    """The keys of every text's chunks; a null or empty text has none.
+
+    Most texts are split by Arrow. Those with a special token are one chunk, since white space
+    beside the token must not be cut, and so are those with the character that marks keys.
+    """
+    texts = pc.fill_null(texts.cast(pa.string()), "")
+    whole = pc.match_substring(texts, _BARE)
+    for token in special:
+        whole = pc.or_(whole, pc.match_substring(texts, token))
+    odd = pc.or_(pc.match_substring_regex(texts, _ODD_SPACE), pc.equal(texts, ""))
+    plain = pc.invert(pc.or_(whole, odd))
+    marked = pc.binary_join_element_wise(_BARE, texts.filter(plain), "")
+    split = pc.split_pattern(marked, " ")
+    rest = np.flatnonzero(~np.asarray(plain))
+    if not len(rest):
+        return split
+    alone = np.asarray(whole)[rest].tolist()
+    some = texts.take(pa.array(rest)).to_pylist()
+    some = [[_BARE + t] if one else list(map(keyed, chunks(t))) for t, one in zip(some, alone, strict=True)]
+    order = np.argsort(np.concatenate([np.flatnonzero(np.asarray(plain)), rest]))
+    return pa.concat_arrays([split, pa.array(some, split.type)]).take(pa.array(order))
 
 
 class Vocabulary:
@@ -75,14 +118,13 @@ class Vocabulary:
         longest_first = sorted(self.special, key=len, reverse=True)
         self.special_split = regex.compile("(" + "|".join(map(regex.escape, longest_first)) + ")").split
 
-    def pieces(self, text: str) -> list[str]:
-        """Chunks of the text, special tokens among them as pieces of their own."""
-        if not any(token in text for token in self.special):
-            return chunks(text)
+    def parts(self, chunk: str) -> list[str]:
+        """Special tokens and words of a chunk."""
+        if not any(token in chunk for token in self.special):
+            return self.split(chunk)
         out = []
-        for run in self.special_split(text):
-            # next to a special token, white space must stay in one piece
-            out += [run] if run else []
+        for run in self.special_split(chunk):
+            out += [run] if run in self.special else self.split(run)
         return out
 
 

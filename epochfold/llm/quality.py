@@ -13,11 +13,12 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from epochfold.llm.bpe import REMEMBERED, Known, totals
-from epochfold.llm.shared import map_texts, pick
+from epochfold.llm.bpe import REMEMBERED, Known
+from epochfold.llm.shared import map_texts, pick, slices
 
 #: Rows of the table of word vectors, and their length. 4 MB as 64-bit integers, whatever the data.
 BUCKETS, SIZE = 1 << 14, 32
@@ -47,20 +48,18 @@ class Words:
     """Texts as bucket numbers of their words and signs, case ignored."""
 
     def __init__(self, remembered: int = REMEMBERED):
-        self.known = Known(remembered)
+        self.known = Known(self._buckets, remembered)
 
-    def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """The buckets of all texts, one text after another, and how many each text has."""
-        cut = [text.split() if text else [] for text in texts]
-        new = self.known.unknown(chain.from_iterable(cut))
+    @staticmethod
+    def _buckets(new: list[str]) -> tuple[np.ndarray, np.ndarray]:
         parts = [_PART.findall(word.lower()) for word in new]
-        encoded = (p.encode("utf-8", "surrogatepass") for p in chain.from_iterable(parts))
         counts = np.fromiter(map(len, parts), np.int64, len(parts))
-        flat = np.fromiter((zlib.crc32(p) % BUCKETS for p in encoded), np.int32, int(counts.sum()))
-        self.known.add(new, flat, counts)
-        sizes = np.fromiter(map(len, cut), np.int64, len(cut))
-        buckets, counts = self.known(chain.from_iterable(cut), int(sizes.sum()))
-        return buckets, totals(counts, sizes)
+        encoded = (p.encode("utf-8", "surrogatepass") for p in chain.from_iterable(parts))
+        return np.fromiter((zlib.crc32(p) % BUCKETS for p in encoded), np.int32, int(counts.sum())), counts
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The buckets of all texts, one text after another, and how many each text has."""
+        return self.known.grouped(pc.utf8_split_whitespace(pc.fill_null(texts, "")))
 
 
 def contexts(buckets: np.ndarray, counts: np.ndarray, index: np.ndarray) -> np.ndarray:
@@ -88,16 +87,15 @@ def word_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
         words, index = Words(), index_vectors()
         table = np.zeros((BUCKETS, SIZE + 1), np.int64)
         for batch in batches:
-            for begin in range(0, batch.num_rows, 256):
-                for texts in _bounded(batch.column(0).slice(begin, 256).to_pylist()):
-                    buckets, counts = words(texts)
-                    if not len(buckets):
-                        continue
-                    order = np.argsort(buckets.astype(np.uint16), kind="stable")
-                    near = contexts(buckets, counts, index)[order]
-                    found, starts = np.unique(buckets[order], return_index=True)
-                    table[found, 1:] += np.add.reduceat(near, starts, axis=0, dtype=np.int64)
-                    table[found, 0] += np.diff(np.append(starts, len(order)))
+            for part in slices(batch, 0):
+                buckets, counts = words(part.column(0))
+                if not len(buckets):
+                    continue
+                order = np.argsort(buckets.astype(np.uint16), kind="stable")
+                near = contexts(buckets, counts, index)[order]
+                found, starts = np.unique(buckets[order], return_index=True)
+                table[found, 1:] += np.add.reduceat(near, starts, axis=0, dtype=np.int64)
+                table[found, 0] += np.diff(np.append(starts, len(order)))
         rows = np.flatnonzero(table[:, 0])
         if len(rows):
             arrays = [pa.array(rows), *(pa.array(c) for c in np.ascontiguousarray(table[rows].T))]
@@ -112,20 +110,6 @@ def word_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     return out
 
 
-def _bounded(texts: list, most: int = 4 << 20):
-    """Runs of texts with about so many characters; a longer text is alone."""
-    run, held = [], 0
-    for text in texts:
-        size = len(text or "")
-        if run and held + size > most:
-            yield run
-            run, held = [], 0
-        run.append(text)
-        held += size
-    if run:
-        yield run
-
-
 def weighted(table: np.ndarray) -> np.ndarray:
     """Vectors of length 1 times a weight that frequent words have little of."""
     n, sums = table[:, 0].astype(np.float64), table[:, 1:].astype(np.float64)
@@ -140,7 +124,7 @@ def weighted(table: np.ndarray) -> np.ndarray:
 FEATURES = 2 * SIZE + 4
 
 
-def pooled(words: Words, texts: list[str | None], vectors: np.ndarray) -> np.ndarray:
+def pooled(words: Words, texts: pa.Array, vectors: np.ndarray) -> np.ndarray:
     """Each text's word vectors as one row of `FEATURES` numbers; all 0 without words."""
     buckets, counts = words(texts)
     out = np.zeros((len(texts), FEATURES))
@@ -254,7 +238,7 @@ def fit(docs: DataFrame, labels: DataFrame, vectors: np.ndarray, sample: int = S
 
         return work
 
-    rows = map_texts(joined, make, "x array<double>", keep=("doc_id", "quality")).collect()
+    rows = map_texts(joined, make, "x array<double>", keep=("doc_id", "quality"), arrow=True).collect()
     rows.sort(key=lambda r: (r.doc_id, r.x))
     x = np.asarray([r.x for r in rows], np.float64).reshape(-1, FEATURES)
     y = np.asarray([float(r.quality >= 1) for r in rows])
@@ -292,4 +276,4 @@ def score(
 
         return work
 
-    return map_texts(docs, make, "score double, predicted int", text_col, keep)
+    return map_texts(docs, make, "score double, predicted int", text_col, keep, arrow=True)

@@ -33,7 +33,7 @@ def op4_quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ids of all documents, written as bit planes and read back."""
+    """Ids of all documents, written in byte planes and read back."""
     docs = table(spark, sf_dir, "documents")
     return token_store.digests(token_store.round_trip(docs, TOKENIZER, end_id=2))
 

@@ -61,11 +61,12 @@ def map_texts(
     added: str,
     text_col: str = "text",
     keep: Sequence[str] = ("doc_id",),
+    arrow: bool = False,
 ) -> DataFrame:
     """The columns `keep`, and columns computed from the texts.
 
-    `make` runs once a task; what it returns gets a list of texts (None for null) and gives one
-    array for each column of `added`. A text is passed as str, or as bytes if its column is binary.
+    `make` runs once a task; what it returns gets texts and gives one array for each column of
+    `added`. Texts come as a list of str or None (bytes if the column is binary), or as they are.
     """
     rows = df.select(*keep, F.col(text_col).alias("text of row"))
     fields = [rows.schema[c] for c in keep] + T.StructType.fromDDL(added).fields
@@ -75,7 +76,8 @@ def map_texts(
         work = make()
         for batch in batches:
             for part in slices(batch, len(keep)):
-                arrays = [*part.columns[:-1], *work(part.column(len(keep)).to_pylist())]
+                texts = part.column(len(keep))
+                arrays = [*part.columns[:-1], *work(texts if arrow else texts.to_pylist())]
                 yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
     return rows.mapInArrow(run, schema)

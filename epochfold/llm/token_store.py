@@ -10,10 +10,11 @@ length) and the table of documents (id, number of ids). Integers are little-endi
 
 from __future__ import annotations
 
+import os
 import struct
 import uuid
 from collections.abc import Iterator
-from itertools import chain
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,13 +25,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from epochfold.llm.bpe import REMEMBERED, Known, totals
-from epochfold.llm.byte_bpe import chunks, read_file
+from epochfold.llm.bpe import REMEMBERED, Known
+from epochfold.llm.byte_bpe import cut, read_file, unkeyed
 from epochfold.llm.shared import pick, shared_folder, slices
 
 MAGIC = b"IDPLANES"
 #: Ids in a block. A multiple of 8, so that bit planes fill whole bytes.
 BLOCK = 1 << 16
+#: Chunks of text that the library gets in one call.
+JOINED = 2000
 
 
 # -- blocks and planes ------------------------------------------------------------------------
@@ -159,33 +162,52 @@ class LibraryEncoder:
     """The tokenizers library, asked once for each chunk of text that a task meets."""
 
     def __init__(self, source: str, end_id: int | None, remembered: int = REMEMBERED):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         self.library = Tokenizer.from_str(source)
         self.library.no_truncation()
         self.library.no_padding()
-        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.end_id, self.known = end_id, Known(remembered)
-
-    def _ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        ids = [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-        counts = np.fromiter(map(len, ids), np.int64, len(ids))
-        return np.fromiter(chain.from_iterable(ids), np.int32, int(counts.sum())), counts
-
-    def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        # a text with a special token is one piece: white space beside the token must not be cut
-        cut = [
-            ([text] if any(s in text for s in self.special) else chunks(text)) if text else []
-            for text in texts
-        ]
-        new = self.known.unknown(chain.from_iterable(cut))
-        self.known.add(new, *self._ids(new))
-        sizes = np.fromiter(map(len, cut), np.int64, len(cut))
-        flat, counts = self.known(chain.from_iterable(cut), int(sizes.sum()))
-        counts = totals(counts, sizes)
+        added = self.library.get_added_tokens_decoder()
+        self.special = {t.content: i for i, t in added.items() if t.special and not (t.lstrip or t.rstrip)}
+        if not self.special or len(self.special) < len(added):
+            raise ValueError("only plain special tokens are supported, and there must be one")
+        self.end_id, self.known = end_id, Known(self._ids, remembered)
+
+    def _ids(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of chunks: many in one call, with a special token between them.
+
+        The library cuts a text at special tokens before all else, so what lies between them is
+        encoded as it is alone. Chunks that hold such tokens themselves are encoded one by one.
+        """
+        between, mark = next(iter(self.special.items()))
+        encode, flat, counts = self.library.encode_batch_fast, [], []
+        for begin in range(0, len(keys), JOINED):
+            run = list(map(unkeyed, keys[begin : begin + JOINED]))
+            if any(s in text for s in self.special for text in run):
+                found = [e.ids for e in encode(run, add_special_tokens=False)]
+                flat += [np.asarray(x, np.int32) for x in found]
+                counts += map(len, found)
+            else:
+                (found,) = encode([between.join(run)], add_special_tokens=False)
+                ids = np.asarray(found.ids, np.int32)
+                marks = np.flatnonzero(ids == mark)
+                flat.append(ids[ids != mark])
+                counts += (np.diff(np.concatenate([[-1], marks, [len(ids)]])) - 1).tolist()
+        return np.concatenate([np.zeros(0, np.int32), *flat]), np.asarray(counts, np.int64)
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after another, and how many each text has."""
+        flat, counts = self.known.grouped(cut(texts, self.special))
         if self.end_id is None:
             return flat, counts
         return np.insert(flat, np.cumsum(counts), self.end_id), counts + 1
 
 
+@lru_cache(maxsize=1)
+def library_encoder(source: str, end_id: int | None) -> LibraryEncoder:
+    """One for all tasks of a worker process, with what it remembers."""
+    return LibraryEncoder(source, end_id)
+
+
 # -- Spark: write and read --------------------------------------------------------------------
 
 
@@ -194,7 +216,7 @@ def write(
     folder: str,
     tokenizer: str,
     end_id: int | None = None,
-    bits: bool = True,
+    bits: bool = False,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -219,9 +241,9 @@ def write(
         for batch in batches:
             for piece in slices(batch):
                 if writer is None:
-                    encoder = LibraryEncoder(source.value, end_id)
+                    encoder = library_encoder(source.value, end_id)
                     writer = Writer(files.open_output_stream(f"{at}/ids/{name}"), bits)
-                flat, counts = encoder(piece.column(1).to_pylist())
+                flat, counts = encoder(piece.column(1))
                 writer.add(piece.column(0).cast(pa.int64()).to_pylist(), flat, counts)
         if writer is not None:
             writer.close()
@@ -272,7 +294,7 @@ def digests(stored: DataFrame) -> DataFrame:
     return stored.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
-def round_trip(df: DataFrame, tokenizer: str, end_id: int | None, bits: bool = True) -> DataFrame:
+def round_trip(df: DataFrame, tokenizer: str, end_id: int | None, bits: bool = False) -> DataFrame:
     """Write a new set of files in the shared folder and read it back.
 
     One row for each row of `df`; a null or empty text has only the end id; an empty table has no

@@ -4,11 +4,12 @@ import hashlib
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 from epochfold.llm import bpe, token_store
-from epochfold.llm.byte_bpe import chunks, vocabulary
+from epochfold.llm.byte_bpe import chunks, cut, unkeyed, vocabulary
 from epochfold.llm.queries import TOKENIZER
 from epochfold.llm.shared import shared_folder
 
@@ -22,12 +23,16 @@ ODD = [
     "<|endoftext|><|endoftext|> x",
     "x  <|endoftext|>",
     "a\n\n b \n\n",
+    "one\ntwo three\n",
+    "\none\r\ntwo\u2028three",
     "\x1c\x1d a\x1e",
     "aaaa" * 500,
     "'s 's don't’s",
     "  x　 y 12½ ²x ٣",
     "é \U0001f600 \U0001f468‍\U0001f469",
     "word " * 20_000,
+    "nul \0a \0 \0",
+    "\0",
     "same",
     "same",
 ]
@@ -39,7 +44,7 @@ def library(text):
 
 def test_encoder_splits_as_the_library_does():
     texts = [f"a{chr(c)}b {chr(c)} {chr(c)}{chr(c)} 1{chr(c)}" for c in range(1, 0xD800, 3)]
-    flat, counts = bpe.Encoder(vocabulary(open(TOKENIZER).read()))(texts)
+    flat, counts = bpe.Encoder(vocabulary(open(TOKENIZER).read()))(pa.array(texts))
     got = [x.tolist() for x in np.split(flat, np.cumsum(counts)[:-1])]
     assert got == [e.ids for e in LIBRARY.encode_batch(texts, add_special_tokens=False)]
 
@@ -47,12 +52,14 @@ def test_encoder_splits_as_the_library_does():
 def test_a_small_memory_changes_nothing():
     vocab = vocabulary(open(TOKENIZER).read())
     for text in ODD:
-        assert bpe.Encoder(vocab, remembered=0)([text, text])[0].tolist() == library(text) * 2
+        assert bpe.Encoder(vocab, remembered=0)(pa.array([text, text], pa.string()))[0].tolist() == library(text) * 2
 
 
 def test_chunks_give_the_text_back():
     for text in ODD[1:]:
         assert "".join(chunks(text)) == text
+    keys = cut(pa.array(ODD), ["<|endoftext|>"]).to_pylist()
+    assert ["".join(map(unkeyed, k)) for k in keys] == [text or "" for text in ODD]
 
 
 @pytest.mark.parametrize("bits", [True, False])
