@@ -6,7 +6,8 @@ first `LEAST_DEPTH` hashes; where a region is crowded it is taken apart by deepe
 
 Within regions, candidates are compared by signature, and no more than one partner a document is
 confirmed in a first pass, so a cluster of near copies costs as many confirmations as it has
-documents. In a second pass all candidates that the confirmed links have not joined yet follow.
+documents. In a second pass, documents that still have a candidate in another component bring their
+texts to their regions, where all of them are compared in full; what leaves a region is a forest.
 """
 
 from __future__ import annotations
@@ -172,8 +173,8 @@ def best_partners(node, sizes, sketch, run, percent, least):
             yield node[rows[i]], node[others[best[i]]], int(most[i])
 
 
-def cross_pairs(node, sizes, sketch, group, run, percent, least):
-    """All candidates of a region whose groups differ."""
+def open_rows(sizes, sketch, group, run, percent, least):
+    """Rows of a region that have a candidate in another group."""
     begin, end = run
     if (group[begin:end] == group[begin]).all():
         return
@@ -181,9 +182,39 @@ def cross_pairs(node, sizes, sketch, group, run, percent, least):
     for at in range(begin, end, step):
         rows = np.arange(at, min(end, at + step))
         same = _agreeing(sketch, sizes, rows, others, percent, least)
-        same[(group[rows, None] == group[None, others]) | (node[rows, None] >= node[None, others])] = 0
-        for i, j in zip(*np.nonzero(same), strict=True):
-            yield node[rows[i]], node[others[j]], int(same[i, j])
+        same[group[rows, None] == group[None, others]] = 0
+        yield from rows[same.any(1)].tolist()
+
+
+def linked_pairs(sets: list[np.ndarray], percent: int, block: int = 512):
+    """Index pairs i < j of sets that are similar enough, by sizes of all intersections.
+
+    Sets are rows of a matrix with a column for each shingle that two of them have; the products of
+    its rows count what they share. The matrix is taken in blocks of rows and columns.
+    """
+    flat = np.concatenate(sets)
+    sizes = np.asarray([len(s) for s in sets])
+    row = np.repeat(np.arange(len(sets)), sizes)
+    _, column, n = np.unique(flat, return_inverse=True, return_counts=True)
+    number = np.cumsum(n > 1) - 1
+    common = n[column] > 1
+    row, column = row[common], number[column[common]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    width = int(column[-1]) + 1 if len(column) else 0
+    wide = max(256, (8 << 20) // max(1, len(sets)))
+    for top in range(0, len(sets), block):
+        height = min(block, len(sets) - top)
+        shared = np.zeros((height, len(sets)), np.float32)
+        for left in range(0, width, wide):
+            a, b = np.searchsorted(column, [left, left + wide])
+            part = np.zeros((len(sets), min(wide, width - left)), np.float32)
+            part[row[a:b], column[a:b] - left] = 1
+            shared += part[top : top + height] @ part.T
+        either = sizes[top : top + height, None] + sizes[None] - shared
+        for i, j in zip(*np.nonzero(100 * shared >= percent * either), strict=True):
+            if top + i < j:
+                yield top + int(i), int(j)
 
 
 def _tree_rows(sets: DataFrame, *more: str) -> DataFrame:
@@ -196,41 +227,86 @@ def _tree_rows(sets: DataFrame, *more: str) -> DataFrame:
     return rows.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
-def _pairs(rows: DataFrame, percent: int, second: bool) -> DataFrame:
-    """(a, b, matches) from the sorted rows of the trees; each task sees a stretch of the orders."""
-    least = least_matches(percent)
+def _sorted_part(batches) -> tuple[pa.Table | None, list[tuple[int, int]]]:
+    """A task's stretch of the trees' orders, and its regions."""
+    held = [batch for batch in batches if batch.num_rows]
+    if not held:
+        return None, []
+    table = pa.Table.from_batches(held)
+    keys = np.frombuffer(b"".join(table["key"].to_pylist()), ">u4").reshape(-1, DEPTH)
+    # the tree is one more hash ahead of all prefixes
+    tree = table["tree"].to_numpy().astype(">u4")[:, None]
+    return table, regions(np.concatenate([tree, keys], 1))
 
-    def work(table: pa.Table):
-        keys = np.frombuffer(b"".join(table["key"].to_pylist()), ">u4").reshape(-1, DEPTH)
-        # the tree is one more hash ahead of all prefixes
-        tree = table["tree"].to_numpy().astype(">u4")[:, None]
-        keys = np.concatenate([tree, keys], 1)
-        sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint8).reshape(-1, _HASHES)
-        node, sizes = table["node"].to_numpy(), table["n_shingles"].to_numpy()
-        for run in regions(keys):
-            if second:
-                group = table["component"].to_numpy()
-                yield from cross_pairs(node, sizes, sketch, group, run, percent, least)
-            else:
-                yield from best_partners(node, sizes, sketch, run, percent, least)
+
+def _compared(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint8).reshape(-1, _HASHES)
+    return table["n_shingles"].to_numpy(), sketch
+
+
+def _best(rows: DataFrame, percent: int) -> DataFrame:
+    """(a, b, matches): b agrees most with a, of all in a region of a's."""
+    least = least_matches(percent)
 
     def run(batches):
-        held = list(batches)
-        if not held:
+        table, found = _sorted_part(batches)
+        if table is None:
             return
-        found = []
-        for pair in chain(work(pa.Table.from_batches(held)), [None]):
-            if pair is None or len(found) == 100_000:
-                flat = np.asarray(found, np.int64).reshape(-1, 3)
-                arrays = [pa.array(flat[:, 0]), pa.array(flat[:, 1]), pa.array(flat[:, 2])]
-                yield pa.RecordBatch.from_arrays(arrays, names=["a", "b", "matches"])
-                found = []
-            if pair is not None:
-                found.append(pair)
+        (sizes, sketch), node = _compared(table), table["node"].to_numpy()
+        pairs = [p for run in found for p in best_partners(node, sizes, sketch, run, percent, least)]
+        flat = np.asarray(pairs, np.int64).reshape(-1, 3)
+        columns = [pa.array(np.ascontiguousarray(c)) for c in flat.T]
+        yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "matches"])
 
     return rows.mapInArrow(run, "a long, b long, matches long")
 
 
+def _open(rows: DataFrame, percent: int) -> DataFrame:
+    """(tree, key, node): where a node still has a candidate in another component."""
+    least = least_matches(percent)
+
+    def run(batches):
+        table, found = _sorted_part(batches)
+        if table is None:
+            return
+        (sizes, sketch), group = _compared(table), table["component"].to_numpy()
+        at = [i for run in found for i in open_rows(sizes, sketch, group, run, percent, least)]
+        out = table.select(["tree", "key", "node"]).take(pa.array(at, pa.int64()))
+        yield from out.to_batches()
+
+    return rows.mapInArrow(run, "tree int, key binary, node long")
+
+
+def _joined_in_regions(rows: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that connect what is linked within regions, from rows with texts."""
+
+    def run(batches):
+        table, found = _sorted_part(batches)
+        if table is None:
+            return
+        node, shingler, ends = table["node"].to_numpy(), Shingler(), []
+        for begin, end in found:
+            texts = table["text"].slice(begin, end - begin).to_pylist()
+            parent = list(range(end - begin))
+
+            def root(i, parent=parent):
+                while parent[i] != i:
+                    parent[i] = parent[parent[i]]
+                    i = parent[i]
+                return i
+
+            for i, j in linked_pairs(shingler(texts), percent):
+                a, b = root(i), root(j)
+                if a != b:
+                    parent[b] = a
+                    ends.append((node[begin + i], node[begin + j]))
+        flat = np.asarray(ends, np.int64).reshape(-1, 2)
+        columns = [pa.array(np.ascontiguousarray(c)) for c in flat.T]
+        yield pa.RecordBatch.from_arrays(columns, names=["a", "b"])
+
+    return rows.mapInArrow(run, "a long, b long")
+
+
 # -- confirmation -----------------------------------------------------------------------------
 
 
@@ -285,7 +361,7 @@ def components(
     sets = with_words.select("node", "n_shingles", "signature", "sketch").dropDuplicates(["node"])
 
     # first pass: each set's best candidate
-    found = _pairs(_tree_rows(sets), percent, second=False)
+    found = _best(_tree_rows(sets), percent)
     best = found.groupBy("a").agg(F.max(F.struct("matches", "b")).alias("best"))
     ends = [F.least("a", "best.b").alias("a"), F.greatest("a", "best.b").alias("b")]
     chosen = stored(best.select(*ends).distinct(), "candidates")
@@ -302,9 +378,10 @@ def components(
     component = F.coalesce("component", "node").alias("component")
     grouped = sets.join(joined, "node", "left").join(nodes, "node", "left_semi")
     grouped = grouped.select("node", "n_shingles", "signature", "sketch", component)
-    rest = _pairs(_tree_rows(grouped, "component"), percent, second=True)
-    rest = rest.select("a", "b").distinct().join(chosen, ["a", "b"], "left_anti")
-    more = stored(_confirmed(rest, texts, percent), "links")
+    unjoined = _open(_tree_rows(grouped, "component"), percent).join(texts, "node")
+    order = ("tree", "key", "node")
+    dealt = unjoined.repartitionByRange(*order).sortWithinPartitions(*order)
+    more = stored(_joined_in_regions(dealt, percent), "links")
     of = lambda end: joined.select(F.col("node").alias(end), F.col("component").alias(f"c{end}"))
     across = more.join(of("a"), "a", "left").join(of("b"), "b", "left")
     across = across.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
