@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-from functools import lru_cache
 
 import ahocorasick
 import numpy as np
@@ -12,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from epochfold.llm.shared import pick, slices, stored
+from epochfold.llm.shared import pick, release, slices, stored
 
 #: Consecutive words of an item that count as a hit. An item of fewer words is one window.
 WINDOW = 10
@@ -82,11 +81,6 @@ def original(text: str, ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(spans[a][0], spans[b - 1][1]) for a, b in ranges]
 
 
-@lru_cache(maxsize=1)
-def _automaton(items: tuple, size: int):
-    return build(list(items), size)
-
-
 _HIT = ("word", "end", "from", "to")
 _SCHEMA = f"n_words long, hits array<struct<{','.join(f'{n}:int' for n in _HIT)}>>, items array<bigint>"
 _HITS = pa.list_(pa.struct([(n, pa.int32()) for n in _HIT]))
@@ -117,7 +111,7 @@ def _scanned(rows: DataFrame, items: tuple, window: int, keep: tuple, last: bool
     schema = T.StructType(fields)
 
     def run(batches):
-        automaton = _automaton(shared.value, window)
+        automaton = build(list(shared.value), window)
         for whole in batches:
             for batch in slices(whole, 0):
                 n_words, hits, found = [], [], []
@@ -135,6 +129,8 @@ def _scanned(rows: DataFrame, items: tuple, window: int, keep: tuple, last: bool
                 columns += [pa.array(n_words, pa.int64()), pa.array(hits, _HITS)]
                 columns.append(pa.array(found, pa.list_(pa.int64())))
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+        del automaton
+        release()
 
     return rows.mapInArrow(run, schema)
 

@@ -119,35 +119,33 @@ def weighted(table: np.ndarray) -> np.ndarray:
     return (unit * (1e-3 / (1e-3 + share))[:, None]).astype(np.float32)
 
 
-#: Mean and spread of the vectors; share of words equal to the next, of vectors along the next, and
-#: of distinct words; logarithm of the number of words.
-FEATURES = 2 * SIZE + 4
+#: Mean and spread of the vectors; share of words equal to the next, and of distinct words;
+#: logarithm of the number of words.
+FEATURES = 2 * SIZE + 3
 
 
 def pooled(words: Words, texts: pa.Array, vectors: np.ndarray) -> np.ndarray:
-    """Each text's word vectors as one row of `FEATURES` numbers; all 0 without words."""
+    """Each text's word vectors as one row of `FEATURES` numbers; all 0 without words.
+
+    Sums run over a text's distinct words, each with its count.
+    """
     buckets, counts = words(texts)
     out = np.zeros((len(texts), FEATURES))
-    full = np.flatnonzero(counts)
-    if not len(full):
+    if not len(buckets):
         return out
-    starts = (np.cumsum(counts) - counts)[full]
-    rows = vectors[buckets]
+    text_of = np.repeat(np.arange(len(texts)), counts)
+    found, times = np.unique(text_of * BUCKETS + buckets, return_counts=True)
+    owner, rows = found // BUCKETS, vectors[found % BUCKETS]
+    full, starts = np.unique(owner, return_index=True)
+    weighted_rows = rows * times[:, None].astype(np.float32)
     n = counts[full, None]
-    mean = np.add.reduceat(rows, starts, axis=0, dtype=np.float64) / n
-    square = np.add.reduceat(rows * rows, starts, axis=0, dtype=np.float64) / n
+    mean = np.add.reduceat(weighted_rows, starts, axis=0, dtype=np.float64) / n
+    square = np.add.reduceat(weighted_rows * rows, starts, axis=0, dtype=np.float64) / n
     out[full, :SIZE] = mean
     out[full, SIZE : 2 * SIZE] = np.sqrt(np.maximum(square - mean**2, 0))
-    text_of = np.repeat(np.arange(len(texts)), counts)
-    beside = np.flatnonzero(text_of[1:] == text_of[:-1])
-    length = np.sqrt((rows * rows).sum(1)) + 1e-12
-    along = (rows[beside] * rows[beside + 1]).sum(1) / (length[beside] * length[beside + 1])
-    pairs = np.maximum(1, counts - 1)
-    equal = (buckets[beside] == buckets[beside + 1]).astype(np.float64)
-    out[:, -4] = np.bincount(text_of[beside], equal, len(texts)) / pairs
-    out[:, -3] = np.bincount(text_of[beside], along, len(texts)) / pairs
-    distinct = np.unique(text_of * BUCKETS + buckets) // BUCKETS
-    out[:, -2] = np.bincount(distinct, minlength=len(texts)) / np.maximum(1, counts)
+    equal = np.flatnonzero((buckets[1:] == buckets[:-1]) & (text_of[1:] == text_of[:-1]))
+    out[:, -3] = np.bincount(text_of[equal], minlength=len(texts)) / np.maximum(1, counts - 1)
+    out[:, -2] = np.bincount(owner, minlength=len(texts)) / np.maximum(1, counts)
     out[:, -1] = np.log1p(counts)
     return out
 

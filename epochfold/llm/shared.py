@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import suppress
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -55,6 +57,13 @@ def slices(batch: pa.RecordBatch, column: int = 1, most: int = SLICE_BYTES) -> I
         yield batch.slice(begin)
 
 
+def release() -> None:
+    """Give memory that a task no longer needs back to the system: Python workers live on."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # only glibc has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def map_texts(
     df: DataFrame,
     make: Callable[[], Callable[[list], list[pa.Array]]],
@@ -79,5 +88,7 @@ def map_texts(
                 texts = part.column(len(keep))
                 arrays = [*part.columns[:-1], *work(texts if arrow else texts.to_pylist())]
                 yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
+        del work
+        release()
 
     return rows.mapInArrow(run, schema)
