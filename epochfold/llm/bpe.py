@@ -16,7 +16,7 @@ from epochfold.llm.byte_bpe import SHIFT, Vocabulary, cut, read_file, unkeyed, v
 from epochfold.llm.shared import map_texts, pick
 
 #: Chunks of text, and words, that a task remembers.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 
 
 def merge_words(words: list[bytes], vocab: Vocabulary) -> tuple[np.ndarray, np.ndarray]:

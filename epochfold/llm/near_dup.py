@@ -36,7 +36,7 @@ CROWD = 2000
 #: A candidate's signature may agree less than the threshold by so many standard deviations.
 DEVIATIONS = 5
 #: Words whose hashes a task remembers.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 
 _HASHES = TREES * DEPTH
 _RANDOM = np.random.default_rng(20_240_601)

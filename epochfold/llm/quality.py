@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from epochfold.llm.bpe import REMEMBERED, Known
+from epochfold.llm.bpe import Known
 from epochfold.llm.shared import map_texts, pick, slices
 
 #: Rows of the table of word vectors, and their length. 4 MB as 64-bit integers, whatever the data.
@@ -31,6 +31,8 @@ SAMPLE = 6000
 #: Of these, one in so many calibrates the temperature instead.
 HOLD = 5
 HIDDEN, EPOCHS, RATE = 32, 60, 0.004
+#: Raw words that a task remembers.
+REMEMBERED = 200_000
 
 _PART = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+")
 

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from epochfold.plans.scratch import shared_folder
 
 #: A task works on texts of about so many bytes at a time.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -25,13 +25,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from epochfold.llm.bpe import REMEMBERED, Known
+from epochfold.llm.bpe import Known
 from epochfold.llm.byte_bpe import cut, read_file, unkeyed
 from epochfold.llm.shared import pick, shared_folder, slices
 
 MAGIC = b"IDPLANES"
 #: Ids in a block. A multiple of 8, so that bit planes fill whole bytes.
 BLOCK = 1 << 16
+#: Chunks of text that a task remembers the ids of.
+REMEMBERED = 700_000
 #: Chunks of text that the library gets in one call.
 JOINED = 2000
 
