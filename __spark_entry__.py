@@ -110,12 +110,12 @@ def store_merge_late(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def store_copy_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The publish for file systems without a cheap rename."""
-    return _loaded(spark, sf_dir, APPEND_CLOSE, publish="copy", year=1997).read()
+    return _loaded(spark, sf_dir, APPEND_CLOSE, publish="copy").read()
 
 
 def store_partition_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What a load of one year's increment changed, from the run report."""
-    report = _loaded(spark, sf_dir, APPEND_CLOSE, year=1997).partition_report()
+    """What a load changed, from the run report."""
+    report = _loaded(spark, sf_dir, APPEND_CLOSE).partition_report()
     return report.select(
         F.col("to_month").alias("eff_to_month"),
         F.col("from_month").alias("eff_from_month"),
@@ -416,8 +416,8 @@ SELECT i.id, CAST(i.eff_from_dt AS VARCHAR) AS eff_from_dt, i.source_rows,
         "store_append_close": f"{_with()} SELECT {_ROW} FROM v1",
         "store_merge_upsert": f"{_with()} SELECT {_ROW} FROM v2",
         "store_merge_late": f"{_with()} SELECT {_ROW} FROM late_v2",
-        "store_copy_publish": f"{_with(year=1997)} SELECT {_ROW} FROM v1",
-        "store_partition_report": f"""{_with(year=1997)}
+        "store_copy_publish": f"{_with()} SELECT {_ROW} FROM v1",
+        "store_partition_report": f"""{_with()}
 SELECT eff_to_month, eff_from_month,
        CASE WHEN rows_after = 0 THEN 'remove' WHEN replaced > 0 OR rows_before = 0 THEN 'replace'
             ELSE 'append' END AS action, rows_before, replaced, incoming, rows_after
