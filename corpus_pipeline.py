@@ -27,6 +27,16 @@ class Columns:
         self.frame = docs.toDF(*self.numbers)
         self.doc_id, self.text = (self.numbers[self.names.index(n)] for n in ("doc_id", "text"))
 
+    def keyed(self, nulls_first: bool) -> DataFrame:
+        """The frame with a key of each (id, text) as `row`, in the order of ids.
+
+        Ids may be null or repeated. Rows of equal id and text are one.
+        """
+        of_text = [F.xxhash64(self.text), F.xxhash64(F.lit(7), self.text)]
+        doc_id = [F.col(self.doc_id)] if nulls_first else [F.col(self.doc_id).isNull(), F.col(self.doc_id)]
+        parts = [part.alias(f"k{i}") for i, part in enumerate([*doc_id, *of_text])]
+        return self.frame.withColumn("row", F.struct(*parts))
+
     def named(self, frame: DataFrame) -> DataFrame:
         return frame.select(*self.numbers).toDF(*self.names)
 
@@ -43,13 +53,15 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each text without the lines that occur before, alike, in this or another document.
 
-    Documents stay, if only with blank lines; where `n_chars` is a column it follows the text.
+    Documents stay, if only with blank lines; where `n_chars` is a column it follows the text. Texts
+    without an id, or under the same one, are documents of their own, unless they are equal.
     """
     cols = Columns(docs)
-    found = lines.groups(cols.frame, id_col=cols.doc_id, text_col=cols.text)
+    rows = cols.keyed(nulls_first=True)
+    found = lines.groups(rows, id_col="row", text_col=cols.text)
     gone = found.where("not kept").groupBy(F.col("doc_id").alias("of"))
     gone = gone.agg(F.collect_list("line_no").alias("dropped"))
-    joined = cols.frame.join(gone, F.col(cols.doc_id).eqNullSafe(F.col("of")), "left")
+    joined = rows.join(gone, F.col("row") == F.col("of"), "left")
     joined = joined.withColumn("lines", F.split(cols.text, "\n", -1))
     out = joined.withColumn(cols.text, lines.remaining("lines", "dropped"))
     if "n_chars" in cols.names:
@@ -62,15 +74,15 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest id.
 
-    Rows that repeat an id with the same text are such a group too. A document without an id stays
-    unless its text is repeated under another id or without one.
+    Rows that repeat an id with the same text are such a group too; other texts under that id are
+    documents of their own. A document without an id comes after those with one.
     """
     cols = Columns(docs)
-    found = near_dup.components(cols.frame, SIMILAR, cols.doc_id, cols.text)
-    gone = found.where("not kept and doc_id is not null").select(F.col("doc_id").alias("of")).distinct()
-    left = cols.frame.join(gone, F.col(cols.doc_id) == F.col("of"), "left_anti")
-    left = left.withColumn("hash", F.xxhash64(cols.text))
-    return cols.named(left.dropDuplicates([cols.doc_id, "hash"]))
+    rows = cols.keyed(nulls_first=False)
+    found = near_dup.components(rows, SIMILAR, "row", cols.text)
+    gone = found.where("not kept").select(F.col("doc_id").alias("of")).distinct()
+    left = rows.join(gone, F.col("row") == F.col("of"), "left_anti")
+    return cols.named(left.dropDuplicates(["row"]))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
