@@ -1,8 +1,10 @@
 """Near-duplicate documents: an LSH forest of MinHash signatures, confirmed on full shingle sets.
 
 Each of several trees is a sort order: the signatures by a run of hashes of their own. Documents
-that share a long prefix there stand side by side. A region is a run of documents that share the
-first `LEAST_DEPTH` hashes; where a region is crowded it is taken apart by deeper prefixes.
+that share a long prefix there stand side by side. A region is all documents that share the first
+`LEAST_DEPTH` hashes, the tree being one; where a region is crowded it is taken apart by deeper
+prefixes. Regions are counted over all rows and dealt by their prefix, so no border cuts them; the
+deepest ones, if still crowded, are dealt as all pairs of bounded chunks.
 
 Within regions, candidates are compared by signature, and no more than one partner a document is
 confirmed in a first pass, so a cluster of near copies costs as many confirmations as it has
@@ -31,7 +33,7 @@ TREES = 8
 DEPTH = 8
 #: Hashes that neighbours must share at least.
 LEAST_DEPTH = 2
-#: A region of more documents than this is split by the next hash. The deepest ones stay whole.
+#: A region of more documents than this is split by the next hash, the deepest ones into chunks.
 CROWD = 2000
 #: A candidate's signature may agree less than the threshold by so many standard deviations.
 DEVIATIONS = 5
@@ -218,25 +220,66 @@ def linked_pairs(sets: list[np.ndarray], percent: int, block: int = 512):
 
 
 def _tree_rows(sets: DataFrame, *more: str) -> DataFrame:
-    """One row for each set and tree, dealt by range and sorted by the tree's hashes."""
+    """One row for each set and tree, with the tree's hashes."""
     tree = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")
     rows = sets.select("node", "n_shingles", "sketch", "signature", *more, tree)
     key = F.substring("signature", F.col("tree") * 4 * DEPTH + 1, F.lit(4 * DEPTH))
-    rows = rows.select("tree", key.alias("key"), "node", "n_shingles", "sketch", *more)
-    order = ("tree", "key", "node")
-    return rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    return rows.select("tree", key.alias("key"), "node", "n_shingles", "sketch", *more)
+
+
+def _crowded(sets: DataFrame) -> list[DataFrame]:
+    """(tree, prefix, n) of the regions of more than `CROWD` rows, for each depth that has any."""
+    rows, out = _tree_rows(sets).select("tree", "key"), []
+    for depth in range(LEAST_DEPTH - 1, DEPTH):
+        rows = rows.withColumn("prefix", F.substring("key", 1, 4 * depth))
+        found = rows.groupBy("tree", "prefix").agg(F.count(F.lit(1)).alias("n")).where(f"n > {CROWD}")
+        found = stored(found, "crowded-regions")
+        if found.isEmpty():
+            break
+        out.append(found)
+        rows = rows.join(F.broadcast(found.drop("n")), ["tree", "prefix"], "left_semi").drop("prefix")
+    return out
+
+
+def _dealt(rows: DataFrame) -> DataFrame:
+    """Rows of one `deal` side by side in one task."""
+    return rows.repartition("deal").sortWithinPartitions("deal", "node")
+
+
+def _in_regions(rows: DataFrame, crowded: list[DataFrame]) -> DataFrame:
+    """The rows with `deal`: two rows of a region have at least one deal in common."""
+    names = [c for c in rows.columns if c not in ("tree", "key")]
+    rows = rows.withColumn("depth", F.lit(LEAST_DEPTH - 1)).withColumn("chunks", F.lit(1))
+    for depth, found in enumerate(crowded, LEAST_DEPTH - 1):
+        rows = rows.withColumn("prefix", F.substring("key", 1, 4 * depth))
+        rows = rows.join(F.broadcast(found), ["tree", "prefix"], "left")
+        if depth < DEPTH - 1:
+            rows = rows.withColumn("depth", F.when(F.col("n").isNull(), F.col("depth")).otherwise(depth + 1))
+        else:
+            rows = rows.withColumn("chunks", F.coalesce(F.ceil(F.col("n") / CROWD).cast("int"), F.lit(1)))
+        rows = rows.drop("prefix", "n")
+    own = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int").alias("own")
+    other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other")
+    rows = rows.select("tree", "key", "depth", own, other, *names)
+    numbers = [F.col("tree"), F.least("own", "other"), F.greatest("own", "other")]
+    numbers = [F.unhex(F.lpad(F.hex(n), 8, "0")) for n in numbers]
+    deal = F.concat(*numbers, F.expr("substring(key, 1, 4 * depth)")).alias("deal")
+    return _dealt(rows.select(deal, *names))
 
 
 def _sorted_part(batches) -> tuple[pa.Table | None, list[tuple[int, int]]]:
-    """A task's stretch of the trees' orders, and its regions."""
+    """A task's rows, and its runs of at least two rows of one deal."""
     held = [batch for batch in batches if batch.num_rows]
     if not held:
         return None, []
     table = pa.Table.from_batches(held)
-    keys = np.frombuffer(b"".join(table["key"].to_pylist()), ">u4").reshape(-1, DEPTH)
-    # the tree is one more hash ahead of all prefixes
-    tree = table["tree"].to_numpy().astype(">u4")[:, None]
-    return table, regions(np.concatenate([tree, keys], 1))
+    deals, found, begin = table["deal"].to_pylist(), [], 0
+    for i in range(1, len(deals) + 1):
+        if i == len(deals) or deals[i] != deals[begin]:
+            if i - begin > 1:
+                found.append((begin, i))
+            begin = i
+    return table, found
 
 
 def _compared(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -262,7 +305,7 @@ def _best(rows: DataFrame, percent: int) -> DataFrame:
 
 
 def _open(rows: DataFrame, percent: int) -> DataFrame:
-    """(tree, key, node): where a node still has a candidate in another component."""
+    """(deal, node): where a node still has a candidate in another component."""
     least = least_matches(percent)
 
     def run(batches):
@@ -271,10 +314,10 @@ def _open(rows: DataFrame, percent: int) -> DataFrame:
             return
         (sizes, sketch), group = _compared(table), table["component"].to_numpy()
         at = [i for run in found for i in open_rows(sizes, sketch, group, run, percent, least)]
-        out = table.select(["tree", "key", "node"]).take(pa.array(at, pa.int64()))
+        out = table.select(["deal", "node"]).take(pa.array(at, pa.int64()))
         yield from out.to_batches()
 
-    return rows.mapInArrow(run, "tree int, key binary, node long")
+    return rows.mapInArrow(run, "deal binary, node long")
 
 
 def _joined_in_regions(rows: DataFrame, percent: int) -> DataFrame:
@@ -361,7 +404,8 @@ def components(
     sets = with_words.select("node", "n_shingles", "signature", "sketch").dropDuplicates(["node"])
 
     # first pass: each set's best candidate
-    found = _best(_tree_rows(sets), percent)
+    crowded = _crowded(sets)
+    found = _best(_in_regions(_tree_rows(sets), crowded), percent)
     best = found.groupBy("a").agg(F.max(F.struct("matches", "b")).alias("best"))
     ends = [F.least("a", "best.b").alias("a"), F.greatest("a", "best.b").alias("b")]
     chosen = stored(best.select(*ends).distinct(), "candidates")
@@ -378,10 +422,8 @@ def components(
     component = F.coalesce("component", "node").alias("component")
     grouped = sets.join(joined, "node", "left").join(nodes, "node", "left_semi")
     grouped = grouped.select("node", "n_shingles", "signature", "sketch", component)
-    unjoined = _open(_tree_rows(grouped, "component"), percent).join(texts, "node")
-    order = ("tree", "key", "node")
-    dealt = unjoined.repartitionByRange(*order).sortWithinPartitions(*order)
-    more = stored(_joined_in_regions(dealt, percent), "links")
+    unjoined = _open(_in_regions(_tree_rows(grouped, "component"), crowded), percent).join(texts, "node")
+    more = stored(_joined_in_regions(_dealt(unjoined), percent), "links")
     of = lambda end: joined.select(F.col("node").alias(end), F.col("component").alias(f"c{end}"))
     across = more.join(of("a"), "a", "left").join(of("b"), "b", "left")
     across = across.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
