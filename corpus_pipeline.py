@@ -120,5 +120,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
-#: The classifier has no SQL form; tests hold every stage against a plain version.
+#: The classifier has no SQL form; tests cover the stages of lines and near duplicates only.
 ORACLE_SQL = None
