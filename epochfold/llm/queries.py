@@ -7,10 +7,25 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from epochfold.llm import bpe, chat, decontaminate, embeddings, lines, near_dup, quality, secret_scan, token_store, warc
+from epochfold.llm import (
+    alignment,
+    bpe,
+    chat,
+    decontaminate,
+    embeddings,
+    lines,
+    near_dup,
+    quality,
+    repair,
+    secret_scan,
+    token_store,
+    topk,
+    warc,
+)
 from epochfold.llm.shared import pick, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,6 +75,20 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.round_trip(table(spark, sf_dir, "documents"), TOKENIZER))
 
 
+def op11_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.report(alignment.tokenized(table(spark, sf_dir, "documents"), TOKENIZER, PIECES))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations with planted faults, repaired at the least cost."""
+    turns = table(spark, sf_dir, "conversations")
+    return repair.report(turns, repair.repair(repair.damage(turns)))
+
+
 QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     op1_perspectives,
     op2_subspace_join,
@@ -71,6 +100,9 @@ QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     op8_fuzzy_lines,
     op9_secret_scan,
     op10_bpe_round_trip,
+    op11_exact_top_k,
+    op12_token_alignment,
+    op13_conversation_repair,
 ]
 
 ORACLE_SQL: dict[str, str] = {}
@@ -185,3 +217,86 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(COALESCE(n_hit, 0) AS BIG
        CAST(COALESCE(n_items, 0) AS BIGINT) AS n_items, sha256(COALESCE(listed, '')) AS items_sha256,
        n_hit IS NOT NULL AS contaminated
   FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)"""
+
+
+#: All queries with all rows; a shorter vector counts as filled up with zeros.
+ORACLE_SQL["op11_exact_top_k"] = """
+WITH usable AS (
+  SELECT DISTINCT vec_id, list_transform(CAST(embedding AS DOUBLE[]), lambda x: floor(256 * x)) AS v
+  FROM embeddings WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS query_id, b.vec_id AS vec_id, MAX(CAST(list_sum([0.0::DOUBLE] || list_transform(
+      range(1, least(len(a.v), len(b.v)) + 1), lambda i: a.v[i] * b.v[i])) AS BIGINT)) AS score
+  FROM usable a JOIN usable b ON a.vec_id IS DISTINCT FROM b.vec_id
+  WHERE a.vec_id % 50 = 0 GROUP BY a.vec_id, b.vec_id),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id NULLS LAST) AS n FROM scored)
+SELECT query_id, CAST(n AS INT) AS rank, vec_id, score FROM ranked WHERE n <= 5"""
+
+#: CRC-32 bit by bit; then the least (cost, audit) of every state, turn after turn.
+ORACLE_SQL["op13_conversation_repair"] = """
+WITH RECURSIVE hashed AS (
+  SELECT *, list_reduce([CAST(4294967295 AS BIGINT)] || list_transform(
+      string_split(COALESCE(CAST(conv_id AS VARCHAR), ' ') || ':' || COALESCE(CAST(turn AS VARCHAR), ' '), ''),
+      lambda c: CAST(ascii(c) AS BIGINT)),
+    lambda crc, byte: list_reduce([xor(crc, byte)] || range(8),
+      lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))) AS left_over FROM conversations),
+kinds AS (
+  SELECT conv_id, turn, COALESCE(role, ' ') AS role, COALESCE(text, ' ') AS text,
+         xor(left_over, 4294967295) % 20 AS kind FROM hashed),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM kinds WHERE kind <> 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS seen,
+         regexp_replace(text, '[\\x20\\x09-\\x0D]+$', '') AS body,
+         CASE WHEN left(role, 1) IN ('s', 'u', 'a') THEN left(role, 1) ELSE 'o' END AS initial FROM damaged),
+judged AS (
+  SELECT *, CASE WHEN body = '' THEN 'blank' WHEN seen > 1 THEN 'duplicate'
+                 WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+         lag(initial) OVER (PARTITION BY conv_id ORDER BY i) AS ahead FROM placed),
+inserts(state, spot, letters, cost, lines) AS (VALUES
+  (0, 0, '', 0, ''), (1, 1, '', 0, ''), (2, 2, '', 0, ''), (3, 3, '', 0, ''),
+  (0, 2, 'I', 5, chr(10) || 'user:'), (1, 2, 'I', 5, chr(10) || 'user:'),
+  (2, 3, 'I', 5, chr(10) || 'assistant:'), (3, 2, 'I', 5, chr(10) || 'user:'),
+  (0, 3, 'II', 10, chr(10) || 'user:' || chr(10) || 'assistant:'),
+  (1, 3, 'II', 10, chr(10) || 'user:' || chr(10) || 'assistant:')),
+edits(action, initial, spot, next_state, cost, new_role) AS (VALUES
+  ('D', NULL, 0, 0, 2, NULL), ('D', NULL, 1, 1, 2, NULL), ('D', NULL, 2, 2, 2, NULL), ('D', NULL, 3, 3, 2, NULL),
+  ('K', 's', 0, 1, 0, NULL), ('K', 'u', 0, 2, 0, NULL), ('K', 'u', 1, 2, 0, NULL), ('K', 'u', 3, 2, 0, NULL),
+  ('K', 'a', 2, 3, 0, NULL), ('R', NULL, 0, 2, 1, 'user'), ('R', NULL, 1, 2, 1, 'user'),
+  ('R', NULL, 2, 3, 1, 'assistant'), ('R', NULL, 3, 2, 1, 'user')),
+paths(conv_id, i, state, best) AS (
+  SELECT DISTINCT conv_id, CAST(0 AS BIGINT), 0, {'cost': 0, 'audit': '', 'lines': ''} FROM conversations
+  UNION ALL
+  SELECT p.conv_id, p.i + 1, e.next_state, MIN({
+      'cost': p.best.cost + n.cost + e.cost + CASE WHEN e.action <> 'D' AND t.fault = 'truncated' THEN 5 ELSE 0 END,
+      'audit': p.best.audit || n.letters || e.action,
+      'lines': p.best.lines || n.lines || CASE WHEN e.action = 'D' THEN ''
+        ELSE chr(10) || COALESCE(e.new_role, t.role) || ':' || t.text END})
+  FROM paths p JOIN judged t ON t.conv_id = p.conv_id AND t.i = p.i + 1
+  JOIN inserts n ON n.state = p.state
+  JOIN edits e ON e.spot = n.spot AND (e.initial IS NULL OR e.initial = t.initial)
+   AND (e.action = 'D' OR t.fault NOT IN ('blank', 'duplicate'))
+  GROUP BY p.conv_id, p.i + 1, e.next_state),
+ended AS (
+  SELECT p.conv_id, MIN({'cost': p.best.cost + n.cost, 'audit': p.best.audit || n.letters,
+                         'lines': p.best.lines || n.lines}) AS best
+  FROM paths p JOIN (SELECT conv_id, MAX(i) AS last FROM paths GROUP BY conv_id) l
+    ON l.conv_id = p.conv_id AND l.last = p.i
+  JOIN inserts n ON n.state = p.state AND (n.spot = 3 OR (p.state = 0 AND n.spot = 0)) GROUP BY p.conv_id),
+counted AS (
+  SELECT conv_id, COALESCE(MAX(turn) - MIN(turn) + 1 - COUNT(DISTINCT turn), 0) AS gaps,
+         COUNT(*) FILTER (fault = 'blank') AS blank, COUNT(*) FILTER (fault = 'duplicate') AS duplicate,
+         COUNT(*) FILTER (fault = 'truncated') AS truncated,
+         COUNT(*) FILTER (ahead IS NOT NULL AND ahead || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM judged GROUP BY conv_id)
+SELECT conv_id, CAST(COALESCE(gaps, 0) AS BIGINT) AS gaps, CAST(COALESCE(blank, 0) AS BIGINT) AS blank,
+       CAST(COALESCE(duplicate, 0) AS BIGINT) AS duplicate, CAST(COALESCE(truncated, 0) AS BIGINT) AS truncated,
+       CAST(COALESCE(illegal, 0) AS BIGINT) AS illegal, CAST(best.cost AS BIGINT) AS cost, best.audit AS audit,
+       sha256(substr(best.lines, 2)) AS repaired_sha256
+  FROM ended LEFT JOIN counted USING (conv_id)"""
