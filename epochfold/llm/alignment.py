@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 from tokenizers import Tokenizer
 
+from epochfold.llm.bpe import totals
 from epochfold.llm.byte_bpe import SPLIT, Vocabulary, read_file
 from epochfold.llm.shared import pick, release, slices, stored
 
@@ -57,7 +58,7 @@ class Csr:
     def transposed(self) -> Csr:
         """By a counting sort of the entries by column."""
         row = np.repeat(np.arange(self.height), np.diff(self.starts))
-        order = np.argsort(self.columns, kind="stable")
+        order = slice(None) if _ascending(self.columns) else np.argsort(self.columns, kind="stable")
         counts = np.bincount(self.columns, minlength=self.width)
         data = None if self.data is None else self.data[order]
         return Csr(np.concatenate([[0], np.cumsum(counts)]), row[order], self.height, data)
@@ -79,21 +80,37 @@ class Csr:
 
     def _times(self, other: Csr) -> Csr:
         sizes = np.diff(other.starts)[self.columns]
-        total = int(sizes.sum())
-        at = np.arange(total) + np.repeat(other.starts[self.columns] - (np.cumsum(sizes) - sizes), sizes)
-        row = np.repeat(np.repeat(np.arange(self.height), np.diff(self.starts)), sizes)
+        row = np.repeat(np.arange(self.height), np.diff(self.starts))
+        at, data = other.starts[self.columns], self.data
+        if (sizes != 1).any():
+            at = np.arange(sizes.sum()) + np.repeat(at - (np.cumsum(sizes) - sizes), sizes)
+            row = np.repeat(row, sizes)
+            data = None if data is None else np.repeat(data, sizes)
         column = other.columns[at]
-        data = np.ones(total, np.int64) if self.data is None else np.repeat(self.data, sizes)
         if other.data is not None:
-            data = data * other.data[at]
+            data = other.data[at] if data is None else data * other.data[at]
         key = row * other.width + column
-        if total and (np.diff(key) < 0).any():
+        if not _ascending(key):
             order = np.argsort(key, kind="stable")
-            key, row, column, data = key[order], row[order], column[order], data[order]
-        new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if total else np.zeros(0, int)
-        data = np.add.reduceat(data, new) if total else data
+            key, row, column = key[order], row[order], column[order]
+            data = None if data is None else data[order]
+        new = np.flatnonzero(_begins(key))
+        sums = np.diff(np.append(new, len(key)))
+        if data is not None and len(new):
+            sums = np.add.reduceat(data, new)
         counts = np.bincount(row[new], minlength=self.height)
-        return Csr(np.concatenate([[0], np.cumsum(counts)]), column[new], other.width, data)
+        return Csr(np.concatenate([[0], np.cumsum(counts)]), column[new], other.width, sums)
+
+
+def _ascending(values: np.ndarray) -> bool:
+    return bool((values[1:] >= values[:-1]).all())
+
+
+def _begins(values: np.ndarray) -> np.ndarray:
+    """Where a run of equal values begins."""
+    out = np.ones(len(values), bool)
+    np.not_equal(values[1:], values[:-1], out=out[1:])
+    return out
 
 
 def incidence(ends: np.ndarray) -> Csr:
@@ -173,9 +190,13 @@ class Tokens:
     def __init__(self, a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, sizes: tuple):
         self.a, self.b, self.n_a, self.n_b = a, b, n_a, n_b
         self.a_ends, self.b_ends = np.cumsum(sizes[0][a]), np.cumsum(sizes[1][b])
-        self.cuts = np.intersect1d(self.a_ends, self.b_ends, assume_unique=True)
-        self.a_group = np.searchsorted(self.cuts, self.a_ends)
-        self.b_group = np.searchsorted(self.cuts, self.b_ends)
+        ends = np.zeros(int(self.a_ends[-1]) + 1 if len(a) else 1, bool)
+        ends[self.a_ends] = True
+        self.cuts = self.b_ends[ends[self.b_ends]]
+        ends[:] = False
+        ends[self.cuts] = True
+        upto = np.cumsum(ends, dtype=np.int32)
+        self.a_group, self.b_group = upto[self.a_ends - 1], upto[self.b_ends - 1]
         self.a_text = np.repeat(np.arange(len(n_a)), n_a)
 
     def links(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -205,23 +226,20 @@ class Tokens:
             yield self.a[i] << SHIFT | self.b[j], self.a_text[i]
 
     def n_groups(self) -> np.ndarray:
-        of_text = self.a_text[np.searchsorted(self.a_ends, self.cuts)]
-        return np.bincount(of_text, minlength=len(self.n_a))
+        return np.bincount(self.a_text[_ends(self.a_group)], minlength=len(self.n_a))
 
-    def digests(self, names: dict[str, np.ndarray]) -> list[str]:
+    def digests(self, names: np.ndarray) -> list[str]:
         """SHA-256 of `a1,a2|b1;...` for each text; an empty string for one without tokens.
 
         The ids of both sides are laid out as they are written, each with what follows it.
         """
-        n = len(self.cuts)
+        n, size = len(self.cuts), len(names) // 3
         in_a, in_b = np.bincount(self.a_group, minlength=n), np.bincount(self.b_group, minlength=n)
         a_at = np.arange(len(self.a)) + (np.cumsum(in_b) - in_b)[self.a_group]
         b_at = np.arange(len(self.b)) + np.cumsum(in_a)[self.b_group]
-        a_last = np.append(self.a_group[1:] != self.a_group[:-1], True) if len(self.a) else np.zeros(0, bool)
-        b_last = np.append(self.b_group[1:] != self.b_group[:-1], True) if len(self.b) else np.zeros(0, bool)
-        words = np.empty(len(self.a) + len(self.b), object)
-        words[a_at] = np.where(a_last, names["|"][self.a], names[","][self.a])
-        words[b_at] = np.where(b_last, names[";"][self.b], names[","][self.b])
+        words = np.empty(len(self.a) + len(self.b), np.int64)
+        words[a_at] = self.a + size * _ends(self.a_group)
+        words[b_at] = self.b + 2 * size * _ends(self.b_group)
         ends = np.cumsum(self.n_a + self.n_b)
         out = []
         for begin, end in zip((ends - self.n_a - self.n_b).tolist(), ends.tolist(), strict=True):
@@ -230,7 +248,7 @@ class Tokens:
                 continue
             digest = hashlib.sha256()
             for at in range(begin, end, ENTRIES):
-                line = "".join(words[at : min(at + ENTRIES, end)].tolist())
+                line = "".join(names[words[at : min(at + ENTRIES, end)]].tolist())
                 digest.update((line[:-1] if at + ENTRIES >= end else line).encode())
             out.append(digest.hexdigest())
         return out
@@ -244,22 +262,38 @@ def _pairs(left: Csr, right: Csr) -> Iterator[tuple[np.ndarray, np.ndarray, np.n
 def tokenize(texts: list[str | None], a: ByteLevel, b: Pieces) -> Tokens:
     """Both sides' tokens of a space and each text; none if the tokens do not spell that."""
     texts = [t or "" for t in texts]
-    right = b(texts)
-    left = [a(" " + t) if t else np.zeros(0, np.int64) for t in texts]
-    right = [np.asarray(ids if t else [], np.int64) for ids, t in zip(right, texts, strict=True)]
     nothing = np.zeros(0, np.int64)
-    for i, t in enumerate(texts):
-        if t:
-            spelled = f" {t}".encode()
-            if a.bytes.joined(left[i]) != spelled or b.bytes.joined(right[i]) != spelled:
+    left = [a(" " + t) if t else nothing for t in texts]
+    right = [np.array(ids, np.int64) if t else nothing for ids, t in zip(b(texts), texts, strict=True)]
+
+    spelled = [f" {t}".encode() if t else b"" for t in texts]
+    sizes = np.array(list(map(len, spelled)), np.int64)
+    for vocabulary, side in ((a.bytes, left), (b.bytes, right)):
+        flat, counts = _flat(side)
+        same = (totals(vocabulary.sizes[flat], counts) == sizes).all()
+        if same and vocabulary.joined(flat) == b"".join(spelled):
+            continue
+        for i, ids in enumerate(side):
+            if vocabulary.joined(ids) != spelled[i]:
                 left[i] = right[i] = nothing
-    n_a, n_b = (np.array(list(map(len, side)), np.int64) for side in (left, right))
-    flat = [np.concatenate([nothing, *side]) for side in (left, right)]
-    return Tokens(*flat, n_a, n_b, (a.bytes.sizes, b.bytes.sizes))
+                spelled[i], sizes[i] = b"", 0
+    (flat_a, n_a), (flat_b, n_b) = _flat(left), _flat(right)
+    return Tokens(flat_a, flat_b, n_a, n_b, (a.bytes.sizes, b.bytes.sizes))
 
 
-def _names(n: int) -> dict[str, np.ndarray]:
-    return {end: np.array([f"{i}{end}" for i in range(n)], object) for end in ",|;"}
+def _flat(side: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts, one after another, and how many each has."""
+    return np.concatenate([np.zeros(0, np.int64), *side]), np.array(list(map(len, side)), np.int64)
+
+
+def _ends(values: np.ndarray) -> np.ndarray:
+    """Where a run of equal values ends."""
+    return np.append(values[1:] != values[:-1], True)[: len(values)]
+
+
+def _names(n: int) -> np.ndarray:
+    """Ids below n followed by a comma, then all with a bar, then with a semicolon."""
+    return np.array([f"{i}{end}" for end in ",|;" for i in range(n)], object)
 
 
 def _counted(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -269,27 +303,34 @@ def _counted(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarr
     keys, counts = np.concatenate(keys), np.concatenate(counts)
     order = np.argsort(keys, kind="stable")
     keys, counts = keys[order], counts[order]
-    new = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else []
+    new = np.flatnonzero(_begins(keys))
     return keys[new], np.add.reduceat(counts, new) if len(keys) else counts
 
 
-def _packed(ids: np.ndarray, counts: np.ndarray) -> pa.Array:
+def _width(vocabulary: Bytes) -> str:
+    """The integers that ids are written as."""
+    return "<u2" if len(vocabulary.sizes) <= 1 << 16 else "<u4"
+
+
+def _packed(ids: np.ndarray, counts: np.ndarray, vocabulary: Bytes) -> pa.Array:
     """Ids of each text as bytes."""
-    offsets = np.concatenate([[0], np.cumsum(counts)]) * 4
-    data = ids.astype("<u4").tobytes()
-    return pa.array([data[x:y] for x, y in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)], pa.binary())
+    ids = ids.astype(_width(vocabulary))
+    ends = (np.cumsum(counts) * ids.itemsize).tolist()
+    data = ids.tobytes()
+    return pa.array([data[x:y] for x, y in zip([0, *ends], ends)], pa.binary())
 
 
-def _unpacked(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    counts = np.asarray(pc.binary_length(column), np.int64) // 4
-    return np.frombuffer(b"".join(column.to_pylist()), "<u4").astype(np.int64), counts
+def _unpacked(column: pa.Array, vocabulary: Bytes) -> tuple[np.ndarray, np.ndarray]:
+    kind = np.dtype(_width(vocabulary))
+    counts = np.asarray(pc.binary_length(column), np.int64) // kind.itemsize
+    return np.frombuffer(b"".join(column.to_pylist()), kind).astype(np.int64), counts
 
 
 class Tokenized:
     """Texts' tokens as a table, from which links, counts and digests are made.
 
     `texts` has (slice, id, a, b, n_groups, n_shared, groups_sha256), where a and b are ids as
-    little-endian 32-bit integers and n_shared counts the pairs of tokens that share a group. `pairs`
+    little-endian integers of 16 bits (32 if a vocabulary needs them) and n_shared counts the pairs of tokens that share a group. `pairs`
     has (slice, a, b, n): how many links of a slice have a pair of ids.
     """
 
@@ -357,8 +398,8 @@ def tokenized(
                     part.num_rows,
                     slice=pa.array(np.full(part.num_rows, number)),
                     id=part.column(0).cast(kinds.field("id").type),
-                    a=_packed(tokens.a, tokens.n_a),
-                    b=_packed(tokens.b, tokens.n_b),
+                    a=_packed(tokens.a, tokens.n_a, a.bytes),
+                    b=_packed(tokens.b, tokens.n_b, b.bytes),
                     n_groups=pa.array(tokens.n_groups(), pa.int64()),
                     n_shared=pa.array(shared),
                     groups_sha256=pa.array(tokens.digests(names), pa.string()),
@@ -388,7 +429,7 @@ def links(tokens: Tokenized) -> DataFrame:
         for batch in batches:
             for at in range(batch.num_rows):
                 one = batch.slice(at, 1)
-                (x, n_a), (y, n_b) = _unpacked(one.column(1)), _unpacked(one.column(2))
+                (x, n_a), (y, n_b) = _unpacked(one.column(1), a.bytes), _unpacked(one.column(2), b.bytes)
                 found = list(Tokens(x, y, n_a, n_b, (a.bytes.sizes, b.bytes.sizes)).links())
                 columns = [np.concatenate([np.zeros(0, np.int64), *(f[i] for f in found)]) for i in range(3)]
                 kind = kinds.field("links").type.value_type
@@ -459,21 +500,24 @@ def report(tokens: Tokenized, id_col: str = "doc_id") -> DataFrame:
                     order = np.argsort(table[0], kind="stable")
                     table, held = [c[order] for c in table], []
                 for piece in slices(part, 6, ENTRIES):
-                    yield _summed(piece, table, (a.bytes.sizes, b.bytes.sizes), kinds)
+                    yield _summed(piece, table, (a.bytes, b.bytes), kinds)
         release()
 
     return mixed.mapInArrow(run, schema).withColumnRenamed("id", id_col)
 
 
-def _summed(part: pa.RecordBatch, table: list[np.ndarray], sizes: tuple, kinds: pa.Schema) -> pa.RecordBatch:
+def _summed(
+    part: pa.RecordBatch, table: list[np.ndarray], vocabularies: tuple[Bytes, Bytes], kinds: pa.Schema
+) -> pa.RecordBatch:
     """Rows of `report` from texts and the counts of their slice's pairs, sorted by key."""
     at = {name: i for i, name in enumerate(part.schema.names)}
-    (a, n_a), (b, n_b) = _unpacked(part.column(at["a"])), _unpacked(part.column(at["b"]))
+    (a, n_a), (b, n_b) = (_unpacked(part.column(at[n]), v) for n, v in zip("ab", vocabularies, strict=True))
+    sizes = tuple(v.sizes for v in vocabularies)
     keys, counts, best = table
     sums = np.zeros((3, part.num_rows), np.int64)
     for key, text in Tokens(a, b, n_a, n_b, sizes).keys():
         found = np.searchsorted(keys, key)
-        new = np.flatnonzero(np.concatenate([[True], text[1:] != text[:-1]]))
+        new = np.flatnonzero(_begins(text))
         of = text[new]
         sums[0, of] += np.diff(np.append(new, len(text)))
         sums[1, of] += np.add.reduceat(best[found].astype(np.int64), new)

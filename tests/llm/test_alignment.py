@@ -2,6 +2,7 @@
 
 import hashlib
 from collections import Counter
+from functools import cache
 
 import numpy as np
 import pytest
@@ -25,6 +26,7 @@ def tools():
     b = sentencepiece.SentencePieceProcessor(model_file=PIECES)
     names = Vocabulary(read_file(TOKENIZER)).bytes_of
 
+    @cache
     def piece(i):
         text = b.id_to_piece(i)
         return bytes([int(text[3:5], 16)]) if b.is_byte(i) else text.replace("▁", " ").encode()
@@ -65,11 +67,14 @@ def plain(texts, tokens):
                 links.append((i, right[m][0]))
                 m += 1
         ends = sorted({y for *_, y in left} & {y for *_, y in right})
-        groups, begin = [], 0
+        groups = []
+        waiting = [list(reversed(left)), list(reversed(right))]
         for end in ends:
-            inside = [[str(i) for i, x, y in side if begin <= x and y <= end] for side in (left, right)]
+            inside = [[], []]
+            for side, found in zip(waiting, inside):
+                while side and side[-1][2] <= end:
+                    found.append(str(side.pop()[0]))
             groups.append("|".join(map(",".join, inside)))
-            begin = end
         counts.update(links)
         every.append((left, right, links, groups))
     top = Counter()
