@@ -21,6 +21,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import sentencepiece
 import tiktoken
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -307,30 +308,34 @@ def _counted(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarr
     return keys[new], np.add.reduceat(counts, new) if len(keys) else counts
 
 
-def _width(vocabulary: Bytes) -> str:
-    """The integers that ids are written as."""
-    return "<u2" if len(vocabulary.sizes) <= 1 << 16 else "<u4"
+def _packed(ids: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """The ids of each text in compressed byte planes, the lowest bytes first."""
+    pack = zstandard.ZstdCompressor(level=1).compress
+    ends = np.cumsum(counts).tolist()
+    planes = ids.astype("<u4").view(np.uint8).reshape(-1, 4).T
+    planes = planes[: 2 if not len(ids) or ids.max() < 1 << 16 else 4]
+    out = [bytes([len(planes)]) + pack(planes[:, x:y].tobytes()) for x, y in zip([0, *ends], ends)]
+    return pa.array(out, pa.binary())
 
 
-def _packed(ids: np.ndarray, counts: np.ndarray, vocabulary: Bytes) -> pa.Array:
-    """Ids of each text as bytes."""
-    ids = ids.astype(_width(vocabulary))
-    ends = (np.cumsum(counts) * ids.itemsize).tolist()
-    data = ids.tobytes()
-    return pa.array([data[x:y] for x, y in zip([0, *ends], ends)], pa.binary())
-
-
-def _unpacked(column: pa.Array, vocabulary: Bytes) -> tuple[np.ndarray, np.ndarray]:
-    kind = np.dtype(_width(vocabulary))
-    counts = np.asarray(pc.binary_length(column), np.int64) // kind.itemsize
-    return np.frombuffer(b"".join(column.to_pylist()), kind).astype(np.int64), counts
+def _unpacked(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    unpack = zstandard.ZstdDecompressor().decompress
+    parts, counts = [np.zeros(0, np.int64)], []
+    for data in column.to_pylist():
+        planes = np.frombuffer(unpack(data[1:]), np.uint8).reshape(data[0], -1)
+        ids = np.zeros(planes.shape[1], np.int64)
+        for i, plane in enumerate(planes):
+            ids |= plane.astype(np.int64) << 8 * i
+        parts.append(ids)
+        counts.append(len(ids))
+    return np.concatenate(parts), np.array(counts, np.int64)
 
 
 class Tokenized:
     """Texts' tokens as a table, from which links, counts and digests are made.
 
-    `texts` has (slice, id, a, b, n_groups, n_shared, groups_sha256), where a and b are ids as
-    little-endian integers of 16 bits (32 if a vocabulary needs them) and n_shared counts the pairs of tokens that share a group. `pairs`
+    `texts` has (slice, id, a, b, n_groups, n_shared, groups_sha256), where a and b are ids in
+    compressed byte planes and n_shared counts the pairs of tokens that share a group. `pairs`
     has (slice, a, b, n): how many links of a slice have a pair of ids.
     """
 
@@ -398,8 +403,8 @@ def tokenized(
                     part.num_rows,
                     slice=pa.array(np.full(part.num_rows, number)),
                     id=part.column(0).cast(kinds.field("id").type),
-                    a=_packed(tokens.a, tokens.n_a, a.bytes),
-                    b=_packed(tokens.b, tokens.n_b, b.bytes),
+                    a=_packed(tokens.a, tokens.n_a),
+                    b=_packed(tokens.b, tokens.n_b),
                     n_groups=pa.array(tokens.n_groups(), pa.int64()),
                     n_shared=pa.array(shared),
                     groups_sha256=pa.array(tokens.digests(names), pa.string()),
@@ -429,7 +434,7 @@ def links(tokens: Tokenized) -> DataFrame:
         for batch in batches:
             for at in range(batch.num_rows):
                 one = batch.slice(at, 1)
-                (x, n_a), (y, n_b) = _unpacked(one.column(1), a.bytes), _unpacked(one.column(2), b.bytes)
+                (x, n_a), (y, n_b) = _unpacked(one.column(1)), _unpacked(one.column(2))
                 found = list(Tokens(x, y, n_a, n_b, (a.bytes.sizes, b.bytes.sizes)).links())
                 columns = [np.concatenate([np.zeros(0, np.int64), *(f[i] for f in found)]) for i in range(3)]
                 kind = kinds.field("links").type.value_type
@@ -499,20 +504,17 @@ def report(tokens: Tokenized, id_col: str = "doc_id") -> DataFrame:
                     table = [np.concatenate([np.zeros(0, t), *(h[i] for h in held)]) for i, t in enumerate((np.int64, np.int64, bool))]
                     order = np.argsort(table[0], kind="stable")
                     table, held = [c[order] for c in table], []
-                for piece in slices(part, 6, ENTRIES):
-                    yield _summed(piece, table, (a.bytes, b.bytes), kinds)
+                for piece in slices(part, 6, ENTRIES // 4):
+                    yield _summed(piece, table, (a.bytes.sizes, b.bytes.sizes), kinds)
         release()
 
     return mixed.mapInArrow(run, schema).withColumnRenamed("id", id_col)
 
 
-def _summed(
-    part: pa.RecordBatch, table: list[np.ndarray], vocabularies: tuple[Bytes, Bytes], kinds: pa.Schema
-) -> pa.RecordBatch:
+def _summed(part: pa.RecordBatch, table: list[np.ndarray], sizes: tuple, kinds: pa.Schema) -> pa.RecordBatch:
     """Rows of `report` from texts and the counts of their slice's pairs, sorted by key."""
     at = {name: i for i, name in enumerate(part.schema.names)}
-    (a, n_a), (b, n_b) = (_unpacked(part.column(at[n]), v) for n, v in zip("ab", vocabularies, strict=True))
-    sizes = tuple(v.sizes for v in vocabularies)
+    (a, n_a), (b, n_b) = _unpacked(part.column(at["a"])), _unpacked(part.column(at["b"]))
     keys, counts, best = table
     sums = np.zeros((3, part.num_rows), np.int64)
     for key, text in Tokens(a, b, n_a, n_b, sizes).keys():
