@@ -17,7 +17,9 @@ from epochfold.sources.replica import ReplicaStore
 try:  # the training-data operators and their pipeline can be left out as a whole
     import corpus_pipeline
     from epochfold.llm import queries as llm
-except ImportError:
+except ModuleNotFoundError as error:
+    if error.name not in ("corpus_pipeline", "epochfold.llm"):
+        raise
     corpus_pipeline = llm = None
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -113,6 +115,36 @@ def store_copy_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _loaded(spark, sf_dir, APPEND_CLOSE, publish="copy").read()
 
 
+def store_append_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The publish for object stores: append once, record, delete what was replaced; two loads."""
+    orders = history.orders(spark, sf_dir)
+    store = ReplicaStore(spark, shared_folder(spark, "replica-appended"), publish="append")
+    store.initial_load(history.initial(orders))
+    store.apply(history.increment(orders), APPEND_CLOSE, run_id="first")
+    store.apply(history.late_increment(store.read()), MERGE, run_id="late")
+    return store.read()
+
+
+def store_reinitialised(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A replica that is loaded anew after a load, and then by the same run id again."""
+    orders = history.orders(spark, sf_dir)
+    store = _loaded(spark, sf_dir, MERGE)
+    store.initial_load(history.initial(orders), overwrite=True)
+    store.apply(history.increment(orders), APPEND_CLOSE, run_id="first")
+    return store.read()
+
+
+def store_batched_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load that rewrites its months in several jobs."""
+    orders = history.orders(spark, sf_dir)
+    root = shared_folder(spark, "replica-batched")
+    ReplicaStore(spark, root).initial_load(history.initial(orders))
+    size = ReplicaStore(spark, root).files.usage(root)[0]
+    store = ReplicaStore(spark, root, batch_bytes=max(size // 3, 1))
+    store.apply(history.increment(orders), MERGE, run_id="first")
+    return store.read()
+
+
 def store_partition_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a load changed, from the run report."""
     report = _loaded(spark, sf_dir, APPEND_CLOSE).partition_report()
@@ -215,6 +247,9 @@ _QUERIES: list[Query] = [
     store_merge_upsert,
     store_merge_late,
     store_copy_publish,
+    store_append_publish,
+    store_reinitialised,
+    store_batched_months,
     store_partition_report,
     store_stage_report,
     open_view,
@@ -417,6 +452,9 @@ SELECT i.id, CAST(i.eff_from_dt AS VARCHAR) AS eff_from_dt, i.source_rows,
         "store_merge_upsert": f"{_with()} SELECT {_ROW} FROM v2",
         "store_merge_late": f"{_with()} SELECT {_ROW} FROM late_v2",
         "store_copy_publish": f"{_with()} SELECT {_ROW} FROM v1",
+        "store_append_publish": f"{_with()} SELECT {_ROW} FROM late_v2",
+        "store_reinitialised": f"{_with()} SELECT {_ROW} FROM v1",
+        "store_batched_months": f"{_with()} SELECT {_ROW} FROM v2",
         "store_partition_report": f"""{_with()}
 SELECT eff_to_month, eff_from_month,
        CASE WHEN rows_after = 0 THEN 'remove' WHEN replaced > 0 OR rows_before = 0 THEN 'replace'

@@ -3,14 +3,20 @@
 Layout below the root::
 
     to_month=.../from_month=.../   data files
-    _schema.json                   column contract
+    _schema.json                   columns, and the number of the replica's generation
     _initial_load                  only while the first content is being written
+    _owner                         the load that may change the replica, while there is one
     _staging/<run_id>/             keys, new content and manifest of an unfinished load
     _runs/stages/<run_id>.json     report of a finished load; its presence means "published"
     _runs/partitions/<run_id>.json row counts of the partitions that load changed
 
-Names with a leading underscore are invisible to readers of the root. One load at a time may
-write to a replica, and readers can see a publish half done.
+Names with a leading underscore are invisible to readers of the root. A replica that is loaded anew
+begins a generation, whose run records have its number in their names.
+
+A load is published by two lists of files: those to add, whose names are unique, and those to delete,
+which held what was replaced. Additions come first, and nothing is deleted unless every addition is in
+its place. So each step can be repeated, also by two processes at once, and no step can destroy what
+another has added. Readers can see a publish half done.
 """
 
 from __future__ import annotations
@@ -37,7 +43,8 @@ from epochfold.operators.partitions import (
     replaced_counts,
     replaced_rows,
 )
-from epochfold.sources.files import RENAMING_SCHEMES, Files
+from epochfold.sources.files import Files
+from epochfold.sources.owner import FencedError, Owner
 
 _NO_MONTH = "__HIVE_DEFAULT_PARTITION__"
 _TREE = "__tree"
@@ -48,16 +55,16 @@ _KEY_BYTES = 96
 _WIDTH = "spark.sql.shuffle.partitions"
 # Compressed file bytes per shuffle task, several times as much once decoded.
 _BYTES_PER_TASK = 128 << 20
-_MOST_TASKS = 20_000
+_INITIAL = "initial-load"
 _FIXED_WIDTH = (T.NumericType, T.DatetimeType, T.BooleanType)
 
 STAGES = (
     "run_id string, mode string, stage string, partitions long, rows_in long, rows_out long, "
-    "seconds double"
+    "seconds double, epoch long"
 )
 PARTITIONS = (
     "run_id string, to_month string, from_month string, action string, "
-    "rows_before long, replaced long, incoming long, rows_after long"
+    "rows_before long, replaced long, incoming long, rows_after long, epoch long"
 )
 
 
@@ -89,11 +96,14 @@ class PartitionChange:
 class ReplicaStore:
     """Reads and writes one replica.
 
-    ``publish`` is ``"move"`` (rename staged directories into place), ``"copy"`` (rewrite them
-    with a dynamic partition overwrite, for stores where a rename is a copy that may stop half
-    way) or ``"auto"``. ``broadcast_bytes`` bounds the key set that may be broadcast. A rewrite
-    also compacts if its partitions hold more than ``crowded`` files per ``file_bytes`` of data,
-    or files of less than ``tiny_bytes`` on average.
+    ``publish`` is ``"move"`` (stage files and rename them into place), ``"append"`` (append them to
+    the replica at once and list them, for stores where a rename is a copy), ``"copy"`` (stage them
+    and rewrite partitions with a dynamic overwrite) or ``"auto"``, one of the first two.
+
+    ``broadcast_bytes`` bounds the key set that may be broadcast. A partition that is rewritten is
+    also compacted if it holds more than ``crowded`` files per ``file_bytes`` of data, or files of
+    less than ``tiny_bytes`` on average. Months are rewritten in batches of ``batch_bytes``, so that a
+    load of any size is a row of jobs of a bounded one.
     """
 
     def __init__(
@@ -109,6 +119,7 @@ class ReplicaStore:
         file_bytes: int = 64 << 20,
         crowded: int = 4,
         tiny_bytes: int = 1 << 20,
+        batch_bytes: int = 1 << 40,
     ):
         self.spark = spark
         self.root = root.rstrip("/")
@@ -117,14 +128,18 @@ class ReplicaStore:
         self.write_options = {"compression": "zstd", **(write_options or {})}
         self.files = Files(spark, self.root)
         if publish == "auto":
-            publish = "move" if self.files.scheme() in RENAMING_SCHEMES else "copy"
-        if publish not in ("move", "copy"):
-            raise ValueError("publish must be 'move', 'copy' or 'auto'")
+            publish = "move" if self.files.renames else "append"
+        if publish not in ("move", "append", "copy"):
+            raise ValueError("publish must be 'move', 'append', 'copy' or 'auto'")
+        if publish == "append":
+            self.files.renames = False
+        self.owner = Owner(Files(spark, self.root), f"{self.root}/_owner")
         self.publish_by = publish
         self.broadcast_bytes = broadcast_bytes
         self.file_bytes = file_bytes
         self.crowded = crowded
         self.tiny_bytes = tiny_bytes
+        self.batch_bytes = batch_bytes
         self._unfinished = f"{self.root}/_initial_load"
         self._schema: T.StructType | None = None
 
@@ -136,14 +151,27 @@ class ReplicaStore:
         if self._schema is None:
             if self.files.exists(self._unfinished):
                 raise LoadError(f"the initial load of {self.root} did not finish; repeat it")
-            path = f"{self.root}/_schema.json"
-            if self.files.exists(path):
-                self._schema = T.StructType.fromJson(json.loads(self.files.read_text(path)))
+            found = self._described().get("schema")
+            if found is not None:
+                self._schema = T.StructType.fromJson(found)
             else:
                 found = self.spark.read.format(self.format).load(self.root).schema
                 self._schema = text_months(found, self.contract)
         return self._schema
 
+    @property
+    def epoch(self) -> int:
+        """How often the replica was loaded anew."""
+        return self._described().get("epoch", 0)
+
+    def _described(self) -> dict:
+        """The schema file; replicas of an earlier version have the bare schema there."""
+        path = f"{self.root}/_schema.json"
+        if not self.files.exists(path):
+            return {}
+        found = json.loads(self.files.read_text(path))
+        return found if "schema" in found else {"schema": found}
+
     def read(self) -> DataFrame:
         """The replica as it is now. Read again after a load: file lists are taken here."""
         return self.spark.read.format(self.format).schema(self.schema).load(self.root)
@@ -177,6 +205,11 @@ class ReplicaStore:
         rows = with_months(source, self.contract)
         payload = [c for c in rows.columns if c not in self.contract.partition_columns]
         rows = rows.select(*(col(c) for c in payload + self.contract.partition_columns))
+        self.files.make(self.root)
+        with self._owning(_INITIAL):
+            self._initial(rows, overwrite, clustered)
+
+    def _initial(self, rows: DataFrame, overwrite: bool, clustered: bool) -> None:
         schema = text_months(rows.schema, self.contract)
         size = 0 if clustered else _planned_bytes(rows)
         if not clustered:
@@ -184,61 +217,102 @@ class ReplicaStore:
         if self.files.exists(self._unfinished):
             self._each(lambda n: self.files.delete(f"{self.root}/{n}"), self._partition_roots())
         if not self._partition_roots():
-            self.files.make(self.root)
+            epoch = self.epoch + 1 if self.files.exists(f"{self.root}/_runs") else 0
             self.files.write_text(self._unfinished, "")
             with self._shuffling(size):
                 self._write(rows, self.root, "append")
-            self._set_schema(schema)
+            self.owner.check()
+            self._set_schema(schema, epoch)
             self.files.delete(self._unfinished)
             return
         if not overwrite:
             raise LoadError(f"{self.root} already holds a replica")
-        self.recover()
+        self._finish_others()
         stage = self._new_stage(f"initial-{uuid.uuid4().hex}")
-        old = {
-            (r[0], r[1])
-            for r in self.read().select(*self.contract.partition_columns).distinct().collect()
-        }
-        with self._shuffling(size):
-            self._write(rows.withColumn(_TREE, F.lit(_REPLACE)), f"{stage}/content")
-        staged = {
-            (r[self.contract.to_month], r[self.contract.from_month])
-            for r in self._staged_counts(stage, schema)
-        }
-        manifest = {
-            "replace": sorted(staged, key=str),
-            "remove": sorted(old - staged, key=str),
-            "schema": schema.jsonValue(),
-        }
+        old = self._files(None)
+        if self.publish_by == "append":
+            self._announce(stage, None)
+            with self._shuffling(size):
+                self._write(rows, self.root, "append")
+        else:
+            with self._shuffling(size):
+                self._write(rows.withColumn(_TREE, F.lit(_REPLACE)), f"{stage}/content")
+        manifest = {"schema": schema.jsonValue(), "epoch": self.epoch + 1}
+        if self.publish_by == "copy":
+            staged = {
+                (r[self.contract.to_month], r[self.contract.from_month])
+                for r in self._staged_counts(stage, schema)
+            }
+            columns = self.read().select(*self.contract.partition_columns).distinct().collect()
+            before = {(r[0], r[1]) for r in columns}
+            manifest |= {
+                "replace": sorted(staged, key=str),
+                "remove": sorted(before - staged, key=str),
+            }
+        else:
+            manifest |= {"new": self._added(stage, None), "old": old}
         self._commit(stage, manifest)
 
     def apply(self, increment: DataFrame, mode: str, run_id: str | None = None) -> DataFrame:
         """Apply an increment and return the run's stage report.
 
-        Repeating a ``run_id`` that was published does nothing. The increment is read up to three
-        times (twice for a few columns only), so it should come from files, not from a long plan.
+        Repeating a ``run_id`` that was published does nothing, and repeating one that is under way
+        takes it over. While any other load is under way this one is refused (``owner.BusyError``). The
+        increment is read up to three times (twice for a few columns only), so it should come from
+        files, not from a long plan.
         """
         check_mode(mode)
         run_id = run_id or uuid.uuid4().hex
         if not _RUN_ID.fullmatch(run_id):
             raise ValueError(f"run_id {run_id!r} is not a plain file name")
-        self.recover()
-        if not self.files.exists(f"{self.root}/_runs/stages/{run_id}.json"):
-            self._load(increment, mode, run_id)
-        return self.stage_report().where(F.col("run_id") == run_id)
+        if self.files.exists(self._unfinished):
+            raise LoadError(f"the initial load of {self.root} did not finish; repeat it")
+        with self._owning(run_id):
+            self._finish_others()
+            if not self.files.exists(self._recorded("stages", run_id, self.epoch)):
+                self._load(increment, mode, run_id)
+        done = (F.col("run_id") == run_id) & (F.col("epoch") == self.epoch)
+        return self.stage_report().where(done)
 
     def recover(self) -> list[str]:
-        """Finish every load that was staged in full; drop the remains of all others."""
+        """Finish every load that was staged in full; drop the remains of all others.
+
+        This takes the replica over from a load that is thought dead. If it is not, it stops at its
+        next step, and neither of the two loses a row.
+        """
+        if not self.files.exists(self.root):
+            return []
+        with self._owning("recovery", over=True):
+            return self._finish_others()
+
+    @contextmanager
+    def _owning(self, run_id: str, over: bool = False):
+        """Own the replica. A process that dies stays the owner until it is taken over."""
+        self.owner.take(run_id, over)
+        try:
+            yield
+        except Exception:
+            self.owner.drop()
+            raise
+        self.owner.drop()
+
+    def _finish_others(self) -> list[str]:
         finished = []
         for run_id in sorted(self.files.names(f"{self.root}/_staging")):
+            self.owner.check()
             stage = f"{self.root}/_staging/{run_id}"
-            if self.files.exists(f"{stage}/manifest.json"):
-                self._publish(stage, json.loads(self.files.read_text(f"{stage}/manifest.json")))
+            manifest = self._manifest(stage)
+            if manifest is not None and self._complete(stage, manifest):
+                self._publish(stage, manifest)
                 finished.append(run_id)
             else:
-                self.files.delete(stage)
+                self._abandon(stage)
         return finished
 
+    def _manifest(self, stage: str) -> dict | None:
+        path = f"{stage}/manifest.json"
+        return json.loads(self.files.read_text(path)) if self.files.exists(path) else None
+
     def _load(self, increment: DataFrame, mode: str, run_id: str) -> None:
         stage = self._new_stage(run_id)
         try:
@@ -276,32 +350,43 @@ class ReplicaStore:
 
             with self._stage(report, "stage") as row:
                 rewritten = [c for c in changes.values() if c.action == _REPLACE]
+                old = self._files([c.key for c in changes.values() if c.action != _APPEND])
+                if self.publish_by == "append":
+                    self._announce(stage, list(changes))
                 usages = self._usage([c for c in rewritten if c.rows_before])
-                as_read = small and not self._wants_compaction(usages)
-                content = self._content(replica, prepared, keys, changes, as_read)
-                with self._shuffling(sum(s for s, _ in usages) + _planned_bytes(prepared)):
-                    self._write(content, f"{stage}/content")
+                for batch in self._batches(changes, usages, _planned_bytes(prepared), total_in):
+                    self.owner.check()
+                    self._write_batch(replica, prepared, keys, batch, usages, small, stage)
                 row.update(
                     partitions=len(changes),
                     rows_in=sum(c.rows_before for c in rewritten) + total_in,
                 )
 
             with self._stage(report, "verify") as row:
-                staged = self._verify(stage, changes)
+                new = self._added(stage, list(changes))
+                staged = self._verify(self._counts_of(stage, new), changes)
                 report[-2]["rows_out"] = staged
                 row.update(partitions=len(changes), rows_in=staged, rows_out=staged)
+            self.owner.check()
+        except FencedError:
+            raise
         except Exception:
-            self.files.delete(stage)
+            self._abandon(stage)
             raise
 
-        removed = [c.key for c in changes.values() if c.action == "remove"]
+        lists = {
+            "replace": [c.key for c in changes.values() if c.action == _REPLACE],
+            "remove": [c.key for c in changes.values() if c.action == "remove"],
+        }
+        if self.publish_by != "copy":
+            lists = {"new": new, "old": old}
         self._commit(
             stage,
-            {
-                "replace": [c.key for c in changes.values() if c.action == _REPLACE],
-                "remove": removed,
+            lists
+            | {
                 "run_id": run_id,
                 "mode": mode,
+                "epoch": self.epoch,
                 "stages": report,
                 "partitions": [asdict(c) for c in changes.values()],
             },
@@ -391,56 +476,119 @@ class ReplicaStore:
             elif change.rows_before == 0 or self.publish_by == "copy":
                 change.action = _REPLACE
 
+    def _batches(
+        self,
+        changes: dict[Partition, PartitionChange],
+        usages: dict[Partition, tuple[int, int]],
+        incoming_bytes: int,
+        incoming_rows: int,
+    ) -> list[dict[Partition, PartitionChange]]:
+        """The changes in groups of start months, each of about ``batch_bytes`` to be rewritten.
+
+        A month is not divided: within one, AQE divides the work.
+        """
+        months: dict[str | None, list[PartitionChange]] = {}
+        for change in changes.values():
+            if change.action != "remove":
+                months.setdefault(change.from_month, []).append(change)
+        batches: list[dict[Partition, PartitionChange]] = []
+        held = 0
+        for month in sorted(months, key=str):
+            size = sum(
+                usages.get(c.key, (0, 0))[0] + incoming_bytes * c.incoming // max(incoming_rows, 1)
+                for c in months[month]
+            )
+            if not batches or held + size > self.batch_bytes:
+                batches.append({})
+                held = 0
+            held += size
+            batches[-1].update({c.key: c for c in months[month]})
+        return batches
+
+    def _write_batch(
+        self,
+        replica: DataFrame,
+        prepared: DataFrame,
+        keys: DataFrame | None,
+        batch: dict[Partition, PartitionChange],
+        usages: dict[Partition, tuple[int, int]],
+        small: bool,
+        stage: str,
+    ) -> None:
+        """Write the new content of some partitions."""
+        used = {key: usage for key, usage in usages.items() if key in batch}
+        loose = {key for key, usage in used.items() if small and not self._wants_compaction(usage)}
+        incoming = prepared
+        if any(c.incoming for c in batch.values()):
+            incoming = prepared.where(in_partitions(list(batch), self.contract))
+        content = self._content(replica, incoming, keys, batch, loose)
+        shuffled = sum(size for key, (size, _) in used.items() if key not in loose)
+        with self._shuffling(shuffled + _planned_bytes(prepared)):
+            if self.publish_by == "append":
+                self._write(content.drop(_TREE), self.root, "append")
+            else:
+                self._write(content, f"{stage}/content", "append")
+
     def _content(
         self,
         replica: DataFrame,
         prepared: DataFrame,
         keys: DataFrame | None,
         changes: dict[Partition, PartitionChange],
-        as_read: bool,
+        loose: set[Partition],
     ) -> DataFrame:
         """New content of the changed partitions, in the tree it will be published from.
 
         Partitions that only gain rows contribute nothing but those rows, unless the publish has
         to rewrite them anyway. Rows kept next to a broadcast key set still sit in their
-        partitions' files and can be written ``as_read``: only the increment is shuffled. After a
-        shuffled join every task holds rows of every partition, so everything is rebalanced.
+        partitions' files, and those of ``loose`` partitions are written as they are read. The rest
+        and the increment are shuffled: partitions that want compaction, and after a shuffled join,
+        when every task holds rows of every partition, all of them.
         """
-        losing = [c for c in changes.values() if c.replaced and c.action == _REPLACE]
-        kept: list[DataFrame] = []
-        if losing:
-            old = replica.where(in_partitions([c.key for c in losing], self.contract))
-            kept.append(on_version(old, keys, "left_anti", self.contract))
-        carried = [
-            c.key
-            for c in changes.values()
-            if c.action == _REPLACE and not c.replaced and c.rows_before
-        ]
-        if carried:
-            kept.append(replica.where(in_partitions(carried, self.contract)))
         gaining = in_partitions(
             [c.key for c in changes.values() if c.action == _APPEND], self.contract
         )
-        incoming = prepared.withColumn(_TREE, F.when(gaining, _APPEND).otherwise(_REPLACE))
-        every = self._rebalanced(incoming) if as_read else incoming
-        for part in kept:
-            every = every.unionByName(part.withColumn(_TREE, F.lit(_REPLACE)))
-        return every if as_read else self._rebalanced(every)
-
-    def _usage(self, changes: list[PartitionChange]) -> list[tuple[int, int]]:
+        shuffled = prepared.withColumn(_TREE, F.when(gaining, _APPEND).otherwise(_REPLACE))
+        as_read: list[DataFrame] = []
+
+        def add(partitions: list[Partition], losing: bool) -> None:
+            nonlocal shuffled
+            for compact in (True, False):
+                some = [key for key in partitions if (key not in loose) is compact]
+                if not some:
+                    continue
+                kept = replica.where(in_partitions(some, self.contract))
+                if losing:
+                    kept = on_version(kept, keys, "left_anti", self.contract)
+                kept = kept.withColumn(_TREE, F.lit(_REPLACE))
+                if compact:
+                    shuffled = shuffled.unionByName(kept)
+                else:
+                    as_read.append(kept)
+
+        rewritten = [c for c in changes.values() if c.action == _REPLACE]
+        add([c.key for c in rewritten if c.replaced], losing=True)
+        add([c.key for c in rewritten if not c.replaced and c.rows_before], losing=False)
+        every = self._rebalanced(shuffled)
+        for kept in as_read:
+            every = every.unionByName(kept)
+        return every
+
+    def _usage(self, changes: list[PartitionChange]) -> dict[Partition, tuple[int, int]]:
         """Bytes and files of each partition."""
-        usages: list[tuple[int, int]] = []
+        usages: dict[Partition, tuple[int, int]] = {}
         self._each(
-            lambda c: usages.append(self.files.usage(f"{self.root}/{self._directory(c.key)}")),
+            lambda c: usages.update(
+                {c.key: self.files.usage(f"{self.root}/{self._directory(c.key)}")}
+            ),
             changes,
         )
         return usages
 
-    def _wants_compaction(self, usages: list[tuple[int, int]]) -> bool:
-        """Whether partitions hold too many files, or files too small to be worth opening."""
-        files = sum(count for _, count in usages)
-        enough = sum(1 + size // self.file_bytes for size, _ in usages)
-        return files > self.crowded * enough or sum(s for s, _ in usages) < files * self.tiny_bytes
+    def _wants_compaction(self, usage: tuple[int, int]) -> bool:
+        """Whether a partition holds too many files, or files too small to be worth opening."""
+        size, files = usage
+        return files > self.crowded * (1 + size // self.file_bytes) or size < files * self.tiny_bytes
 
     def _key_bytes(self, rows: DataFrame) -> int:
         return _planned_bytes(rows.select(*(col(c) for c in self.contract.version_key)))
@@ -453,7 +601,7 @@ class ReplicaStore:
         larger than the session was set up for would otherwise spill all the way.
         """
         given = self.spark.conf.get(_WIDTH)
-        wanted = min(size // _BYTES_PER_TASK, _MOST_TASKS)
+        wanted = size // _BYTES_PER_TASK
         if wanted <= int(given):
             yield
             return
@@ -463,11 +611,10 @@ class ReplicaStore:
         finally:
             self.spark.conf.set(_WIDTH, given)
 
-    def _verify(self, stage: str, changes: dict[Partition, PartitionChange]) -> int:
-        """Compare the staged rows of each partition with the counts taken before; return all."""
+    def _verify(self, counts: list, changes: dict[Partition, PartitionChange]) -> int:
+        """Compare the new rows of each partition with the counts taken before; return all."""
         staged = {
-            (r[self.contract.to_month], r[self.contract.from_month]): r["rows"]
-            for r in self._staged_counts(stage, self.schema)
+            (r[self.contract.to_month], r[self.contract.from_month]): r["rows"] for r in counts
         }
         for change in changes.values():
             expected = change.incoming if change.action == _APPEND else change.rows_after
@@ -505,8 +652,67 @@ class ReplicaStore:
         return self.spark.read.format(self.format).schema(full).load(f"{stage}/content")
 
     def _staged_counts(self, stage: str, schema: T.StructType) -> list:
+        if not self.files.exists(f"{stage}/content"):
+            return []
         return partition_counts(self._staged(stage, schema), self.contract).collect()
 
+    def _counts_of(self, stage: str, new: list[str]) -> list:
+        """New rows per partition: of what was staged, or of the files appended to the replica."""
+        if self.publish_by != "append":
+            return self._staged_counts(stage, self.schema)
+        if not new:
+            return []
+        reader = self.spark.read.format(self.format).schema(self.schema)
+        rows = reader.option("basePath", self.root).load([f"{self.root}/{name}" for name in new])
+        return partition_counts(rows, self.contract).collect()
+
+    def _files(self, partitions: list[Partition] | None) -> list[str]:
+        """Files of some partitions, or of all, by their path below the root."""
+        if partitions is None:
+            paths: list[str] = []
+            self._each(
+                lambda n: paths.extend(f"{n}/{m}" for m in self.files.names(f"{self.root}/{n}")),
+                self._partition_roots(),
+            )
+        else:
+            paths = [self._directory(p) for p in partitions]
+        found: list[str] = []
+        self._each(
+            lambda p: found.extend(
+                f"{p}/{n}" for n in self.files.names(f"{self.root}/{p}") if n[0] not in "_."
+            ),
+            paths,
+        )
+        return sorted(found)
+
+    def _announce(self, stage: str, partitions: list[Partition] | None) -> None:
+        """Note the files there are before others are appended to the replica itself."""
+        self.files.make(stage)
+        paths = None if partitions is None else [self._directory(p) for p in partitions]
+        note = {"paths": paths, "before": self._files(partitions)}
+        self.files.write_text(f"{stage}/appending.json", json.dumps(note))
+
+    def _added(self, stage: str, partitions: list[Partition] | None) -> list[str]:
+        """Files that this load adds, by the path that they have or will have below the root."""
+        if self.publish_by == "append":
+            note = json.loads(self.files.read_text(f"{stage}/appending.json"))
+            return sorted(set(self._files(partitions)) - set(note["before"]))
+        found: list[str] = []
+        trees = [f"{stage}/content/{_TREE}={kind}" for kind in (_REPLACE, _APPEND)]
+        months = [(t, n) for t in trees for n in self.files.names(t)]
+        starts: list[tuple[str, str]] = []
+        self._each(
+            lambda m: starts.extend((m[0], f"{m[1]}/{n}") for n in self.files.names("/".join(m))),
+            months,
+        )
+        self._each(
+            lambda p: found.extend(
+                f"{p[1]}/{n}" for n in self.files.names("/".join(p)) if n[0] not in "_."
+            ),
+            starts,
+        )
+        return sorted(found)
+
     def _new_stage(self, run_id: str) -> str:
         return f"{self.root}/_staging/{run_id}"
 
@@ -519,8 +725,9 @@ class ReplicaStore:
         """Anything a reader of the root would see."""
         return [n for n in self.files.names(self.root) if not n.startswith(("_", "."))]
 
-    def _set_schema(self, schema: T.StructType) -> None:
-        self.files.write_text(f"{self.root}/_schema.json", json.dumps(schema.jsonValue()))
+    def _set_schema(self, schema: T.StructType, epoch: int) -> None:
+        described = {"epoch": epoch, "schema": schema.jsonValue()}
+        self.files.write_text(f"{self.root}/_schema.json", json.dumps(described))
         self._schema = schema
 
     # -- publishing ----------------------------------------------------------------------------
@@ -528,60 +735,110 @@ class ReplicaStore:
     def _commit(self, stage: str, manifest: dict) -> None:
         """From the manifest on, a load is finished by this process or by the next ``recover``."""
         manifest["publish"] = self.publish_by
+        self.owner.check()
         self.files.write_text(f"{stage}/manifest.json", json.dumps(manifest))
         self._publish(stage, manifest)
 
+    def _complete(self, stage: str, manifest: dict) -> bool:
+        """Whether all that a manifest adds is there, in the staging area or in its place."""
+        if manifest["publish"] == "copy":
+            return not manifest["replace"] or self.files.exists(f"{stage}/content")
+        staged = set()
+        if manifest["publish"] == "move":
+            staged = set(self._staged_paths(stage))
+        missing: list[str] = []
+        self._each(
+            lambda n: None if self.files.exists(f"{self.root}/{n}") else missing.append(n),
+            [name for name in manifest["new"] if name not in staged],
+        )
+        return not missing
+
+    def _staged_paths(self, stage: str) -> dict[str, str]:
+        """Where each staged file is, by the path it will have below the root."""
+        out = {}
+        for kind in (_REPLACE, _APPEND):
+            tree = f"{stage}/content/{_TREE}={kind}"
+            for month in self.files.names(tree):
+                for start in self.files.names(f"{tree}/{month}"):
+                    for name in self.files.names(f"{tree}/{month}/{start}"):
+                        out[f"{month}/{start}/{name}"] = f"{tree}/{month}/{start}/{name}"
+        return out
+
     def _publish(self, stage: str, manifest: dict) -> None:
-        """Put staged partitions in place. Every step may be repeated after a crash."""
+        """Put new files in place and delete replaced ones. Every step may be repeated."""
         started = time.monotonic()
+        self.owner.check()
         if "schema" in manifest:
-            self._set_schema(T.StructType.fromJson(manifest["schema"]))
+            schema = T.StructType.fromJson(manifest["schema"])
+            self._set_schema(schema, manifest.get("epoch", 0))
         # What was staged depends on the method, so a replay keeps to it.
         if manifest["publish"] == "copy":
             self._overwrite_partitions(stage, manifest)
+            self.owner.check()
+            self._each(
+                lambda p: self.files.delete(f"{self.root}/{self._directory(p)}"),
+                manifest["remove"],
+            )
         else:
-            self._swap_partitions(f"{stage}/content/{_TREE}={_REPLACE}")
-            self._add_files(f"{stage}/content/{_TREE}={_APPEND}")
-        self._each(
-            lambda p: self.files.delete(f"{self.root}/{self._directory(p)}"), manifest["remove"]
-        )
+            if manifest["publish"] == "move":
+                self._move_in(self._staged_paths(stage))
+            if not self._complete(stage, manifest):
+                raise LoadError(f"files of {stage} are gone; nothing was deleted")
+            self.owner.check()
+            self._each(lambda n: self.files.delete(f"{self.root}/{n}"), manifest["old"])
+            self._drop_empty(manifest["old"])
+        self.owner.check()
         if "run_id" in manifest:
             self._record(manifest, time.monotonic() - started)
+        self.owner.check()
         self.files.delete(stage)
 
-    def _swap_partitions(self, tree: str) -> None:
-        """Put staged directories in the place of the old ones.
+    def _move_in(self, staged: dict[str, str]) -> None:
+        """Move staged files, which have unique names, to their partitions.
 
-        What is still in the tree has not been moved, so a repetition goes on where it stopped.
+        A file that is no longer where it was staged may have been moved by another process; whether
+        all are in place is asked afterwards.
         """
-
-        def swap(names: tuple[str, str]) -> None:
-            path = "/".join(names)
-            self.files.delete(f"{self.root}/{path}")
-            self.files.move(f"{tree}/{path}", f"{self.root}/{path}")
-
-        here = set(self._partition_roots())
-        there = self.files.names(tree)
         self._each(
-            lambda name: self.files.move(f"{tree}/{name}", f"{self.root}/{name}"),
-            [name for name in there if name not in here],
+            lambda path: self.files.make(f"{self.root}/{path}"),
+            sorted({name.rsplit("/", 1)[0] for name in staged}),
         )
-        self._each(
-            swap, [(n, m) for n in there if n in here for m in self.files.names(f"{tree}/{n}")]
-        )
-
-    def _add_files(self, tree: str) -> None:
-        """Move staged files, which have unique names, next to those already there."""
-
-        def add(names: tuple[str, str]) -> None:
-            path = "/".join(names)
-            self.files.make(f"{self.root}/{path}")
-            for name in self.files.names(f"{tree}/{path}"):
-                self.files.move(f"{tree}/{path}/{name}", f"{self.root}/{path}/{name}")
 
-        self._each(
-            add, [(n, m) for n in self.files.names(tree) for m in self.files.names(f"{tree}/{n}")]
-        )
+        def move(name: str) -> None:
+            try:
+                self.files.move(staged[name], f"{self.root}/{name}")
+            except OSError:
+                if not self.files.exists(f"{self.root}/{name}"):
+                    raise
+
+        self._each(move, list(staged))
+
+    def _drop_empty(self, deleted: list[str]) -> None:
+        """Remove directories that the deleted files have left empty."""
+        if not self.files.renames:
+            return  # object stores have no directories
+        starts = sorted({name.rsplit("/", 1)[0] for name in deleted})
+        for paths in (starts, sorted({path.rsplit("/", 1)[0] for path in starts})):
+            self._each(lambda path: self.files.delete_if_empty(f"{self.root}/{path}"), paths)
+
+    def _abandon(self, stage: str) -> None:
+        """Drop what is left of a load that did not get as far as its manifest."""
+        note = f"{stage}/appending.json"
+        if self.files.exists(note):
+            found = json.loads(self.files.read_text(note))
+            paths = found["paths"]
+            before = set(found["before"])
+            if paths is None:
+                there = self._files(None)
+            else:
+                there = [
+                    f"{p}/{n}" for p in paths for n in self.files.names(f"{self.root}/{p}") if n[0] not in "_."
+                ]
+            self.owner.check()
+            self._each(
+                lambda n: self.files.delete(f"{self.root}/{n}"), [n for n in there if n not in before]
+            )
+        self.files.delete(stage)
 
     @staticmethod
     def _each(action, items: list) -> None:
@@ -608,6 +865,7 @@ class ReplicaStore:
     def _record(self, manifest: dict, seconds: float) -> None:
         """Write the reports; the stage report comes last and marks the run as published."""
         run_id, changes = manifest["run_id"], manifest["partitions"]
+        epoch = manifest.get("epoch", 0)
         rows = sum(c["rows_after"] for c in changes)
         publish = {
             "stage": "publish",
@@ -617,15 +875,19 @@ class ReplicaStore:
             "seconds": seconds,
         }
         stages = [
-            {"run_id": run_id, "mode": manifest["mode"], **s}
+            {"run_id": run_id, "mode": manifest["mode"], "epoch": epoch, **s}
             for s in [*manifest["stages"], publish]
         ]
-        runs = f"{self.root}/_runs"
-        self.files.make(f"{runs}/partitions")
-        self.files.make(f"{runs}/stages")
-        partitions = [{"run_id": run_id, **c} for c in changes]
-        self.files.write_text(f"{runs}/partitions/{run_id}.json", _lines(partitions))
-        self.files.write_text(f"{runs}/stages/{run_id}.json", _lines(stages))
+        self.files.make(f"{self.root}/_runs/partitions")
+        self.files.make(f"{self.root}/_runs/stages")
+        partitions = [{"run_id": run_id, "epoch": epoch, **c} for c in changes]
+        self.files.write_text(self._recorded("partitions", run_id, epoch), _lines(partitions))
+        self.files.write_text(self._recorded("stages", run_id, epoch), _lines(stages))
+
+    def _recorded(self, kind: str, run_id: str, epoch: int) -> str:
+        """A run's record. Those of the first generation have no number, as ever."""
+        name = run_id if not epoch else f"{run_id}.epoch-{epoch}"
+        return f"{self.root}/_runs/{kind}/{name}.json"
 
     @contextmanager
     def _stage(self, report: list[dict], name: str):

@@ -164,7 +164,8 @@ def test_every_crash_point_of_a_publish_is_replayed(spark, new_store, mode, publ
         again.apply(table(spark, raw), mode, run_id="r")
         assert values(again.read()) == expected
         assert again.partition_report().count() == again.partition_report().distinct().count()
-    assert crashes >= 5
+    # A small file is replaced in one step, so a copy has few steps of its own.
+    assert crashes >= (4 if publish == "copy" else 5)
 
 
 def test_crash_before_the_manifest_changes_nothing(spark, new_store, monkeypatch):
