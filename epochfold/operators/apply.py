@@ -32,6 +32,20 @@ def not_open(contract: Contract) -> Column:
     return ~col(contract.to_month).eqNullSafe(F.lit(contract.open_month))
 
 
+def by_touched_months(
+    replica: DataFrame, keys: DataFrame, contract: Contract
+) -> tuple[DataFrame, DataFrame]:
+    """Replica rows of the months that the keys start in, and all others.
+
+    The months are asked for by a subquery of the same plan, one value per month of the calendar. Where
+    they are directories both filters prune them before a file is opened, so the other months' rows
+    enter neither a join nor a shuffle. A month that is NULL is among the others: NULL never matches.
+    """
+    months = keys.agg(F.collect_set(col(contract.from_month))).scalar()
+    touched = F.coalesce(F.array_contains(months, col(contract.from_month)), F.lit(False))
+    return replica.where(touched), replica.where(~touched)
+
+
 def surviving_open(
     replica: DataFrame,
     prepared: DataFrame,
@@ -39,7 +53,8 @@ def surviving_open(
 ) -> DataFrame:
     """Open replica rows whose version the increment does not close."""
     keys = closed_keys(prepared, contract)
-    return on_version(replica.where(open_by_month(contract)), keys, "left_anti", contract)
+    touched, others = by_touched_months(replica.where(open_by_month(contract)), keys, contract)
+    return on_version(touched, keys, "left_anti", contract).unionByName(others)
 
 
 def kept_rows(
@@ -50,7 +65,9 @@ def kept_rows(
         # Two disjoint partition filters, not one scan: closed history never enters a shuffle.
         closed = replica.where(not_open(contract))
         return closed.unionByName(surviving_open(replica, prepared, contract))
-    return on_version(replica, version_keys(prepared, contract), "left_anti", contract)
+    keys = version_keys(prepared, contract)
+    touched, others = by_touched_months(replica, keys, contract)
+    return on_version(touched, keys, "left_anti", contract).unionByName(others)
 
 
 def append_close(
@@ -64,27 +81,36 @@ def merge(replica: DataFrame, prepared: DataFrame, contract: Contract = Contract
     """Update rows with the increment's version keys in full, insert the rest.
 
     As in SQL ``MERGE``, running the result fails if a replica row has more than one counterpart
-    in the increment. The check rides on the join that finds the updated rows.
+    in the increment. The check rides on the join that finds the updated rows. Rows of months in
+    which no key starts are not joined.
     """
-    matched = on_version(replica, version_keys(prepared, contract), "left", contract)
+    keys = version_keys(prepared, contract)
+    touched, others = by_touched_months(replica, keys, contract)
+    matched = on_version(touched, keys, "left", contract)
     ambiguous = F.raise_error(F.lit(CARDINALITY_ERROR)).cast("boolean")
     keep = (
         F.when(F.col(KEY_ROWS).isNull(), F.lit(True))
         .when(F.col(KEY_ROWS) > 1, ambiguous)
         .otherwise(F.lit(False))
     )
-    return matched.where(keep).drop(_ID, _FROM, KEY_ROWS).unionByName(prepared)
+    kept = matched.where(keep).drop(_ID, _FROM, KEY_ROWS)
+    return kept.unionByName(others).unionByName(prepared)
 
 
 def _matches(
     replica: DataFrame, prepared: DataFrame, contract: Contract, keys: DataFrame
 ) -> DataFrame:
-    """Per matched version key: its rows in the increment and in the replica."""
-    versions = replica.select(*(col(c) for c in contract.version_key))
-    return (
-        on_version(versions, keys, "inner", contract)
-        .groupBy(*(col(c) for c in contract.version_key))
-        .agg(F.max(KEY_ROWS).alias(ROWS), F.count(F.lit(1)).alias("target_rows"))
+    """Per matched version key: its rows in the increment and in the replica.
+
+    Both sides have a row per key by the time they are joined. The replica's rows are counted on the
+    map side first, so a key on a third of them is one row a task.
+    """
+    touched, _ = by_touched_months(replica, keys, contract)
+    versions = touched.groupBy(*(col(c) for c in contract.version_key)).agg(
+        F.count(F.lit(1)).alias("target_rows")
+    )
+    return on_version(versions, keys, "inner", contract).select(
+        *(col(c) for c in contract.version_key), F.col(KEY_ROWS).alias(ROWS), "target_rows"
     )
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from epochfold.functions.months import closed_by_month, month_start, open_by_month
 from epochfold.model import APPEND_CLOSE, Contract, check_mode, col
-from epochfold.operators.apply import KEY_ROWS, on_version
+from epochfold.operators.apply import KEY_ROWS, by_touched_months, on_version
 from epochfold.operators.increment import displacing_keys
 
 Partition = tuple[str | None, str | None]
@@ -79,7 +79,8 @@ def touched_partitions(
     keys = displacing_keys(prepared, mode, contract)
     parts = contract.partition_columns
     before = partition_counts(replica, contract).withColumnRenamed("rows", "rows_before")
-    replaced = replaced_counts(replaced_rows(replica, keys, mode, contract), contract)
+    touched, _ = by_touched_months(replica, keys, contract)
+    replaced = replaced_counts(replaced_rows(touched, keys, mode, contract), contract)
     replaced = replaced.drop("ambiguous")
     incoming = partition_counts(prepared, contract).withColumnRenamed("rows", "incoming")
     every = before.unionByName(replaced, True).unionByName(incoming, True)

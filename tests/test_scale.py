@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from epochfold import APPEND_CLOSE, MERGE, ReplicaStore, append_close, merge, prepare
-from epochfold.operators import apply
+from epochfold.operators import apply, partitions
 from epochfold.operators.increment import with_months
 from epochfold.sources import catalog
 from tests.test_edges import OPEN, REPLICA, SCHEMA, table
@@ -75,6 +75,77 @@ def test_hot_replica_key_is_split(spark, tmp_path, conf, mode):
     assert "skew=true" in final_plan(result)
 
 
+def test_hot_key_is_one_row_a_task_where_keys_are_counted(spark, tmp_path, conf):
+    """The join of `merge_actions` and `merge_conflicts` meets each replica key once."""
+    conf(
+        {
+            "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        }
+    )
+    replica, incoming = skewed(spark, tmp_path, 3_000)
+    hot = replica.groupBy("id").count().where("count > 1").first()["count"]
+    for result, rows_in in (
+        (apply.merge_actions(replica, incoming), None),
+        (apply.merge_conflicts(replica, incoming), 1),
+    ):
+        plan = result._jdf.queryExecution().optimizedPlan().toString()
+        join = plan.index("Join Inner")
+        assert "count(1) AS target_rows" in plan[join:]
+        physical = final_plan(result)
+        assert "partial_count(1)" in physical
+        if rows_in is not None:
+            assert result.count() == rows_in
+    actions = {r.action: r["rows"] for r in apply.merge_actions(replica, incoming).collect()}
+    assert actions["update"] == replica.where("id % 5 = 0").count()
+    assert hot > 1_000
+
+
+@pytest.mark.parametrize("operator", ["merge", "surviving_open", "touched_partitions", "merge_conflicts"])
+def test_other_months_are_pruned(spark, tmp_path, conf, operator):
+    """Only the months that keys start in are joined; the others are read and not shuffled."""
+    conf(
+        {
+            "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        }
+    )
+    store = ReplicaStore(spark, str(tmp_path / "replica"))
+    months = [(i, f"2024-{m:02d}-03", "open", f"{i}-{m}") for m in range(1, 13) for i in range(1, 4)]
+    store.initial_load(table(spark, months))
+    raw = [(1, "2024-05-03", "2024-06-03", "x"), (1, "2024-05-03", "2024-06-03", "y")]
+    incoming = prepare(table(spark, raw if operator == "merge_conflicts" else raw[:1]), store.schema)
+    replica = store.read()
+    if operator == "touched_partitions":
+        result = partitions.touched_partitions(replica, incoming, MERGE)
+        assert result.count() == 2
+    else:
+        result = getattr(apply, operator)(replica, incoming)
+        assert result.count() == {"merge": 36, "surviving_open": 35, "merge_conflicts": 1}[operator]
+    result.collect()
+    scans = {}
+
+    def walk(node, shuffled):
+        name = node.nodeName()
+        if name.startswith("Scan parquet"):
+            text = node.toString()
+            if "array_contains" in text:
+                read = node.metrics().apply("numFiles").value()
+                scans.setdefault("NOT" in text.split("PartitionFilters")[1].split("array_contains")[0], []).append((read, shuffled))
+        if name == "AdaptiveSparkPlan":
+            return walk(node.executedPlan(), shuffled)
+        if name.endswith("QueryStage"):
+            return walk(node.plan(), shuffled)
+        children = node.children()
+        for i in range(children.size()):
+            walk(children.apply(i), shuffled or "Exchange" == name)
+
+    walk(result._jdf.queryExecution().executedPlan(), False)
+    assert {read for read, _ in scans[False]} == {1}
+    assert all(not shuffled and read == 11 for read, shuffled in scans.get(True, []))
+    assert (True in scans) is (operator in ("merge", "surviving_open"))
+
+
 def test_repeated_keys_are_combined_before_the_shuffle(spark, tmp_path):
     replica, incoming = skewed(spark, tmp_path, 3_000)
     plan = apply.surviving_open(replica, incoming)._jdf.queryExecution().optimizedPlan().toString()
@@ -95,8 +166,10 @@ def test_closed_history_is_not_shuffled(spark, tmp_path, conf):
     incoming = prepare(table(spark, [(1, "2024-01-03", "2024-02-03", "x")]), store.schema)
     plan = append_close(store.read(), incoming)._jdf.queryExecution().executedPlan().toString()
     branches = plan.split("FileScan")
-    assert len(branches) == 3
+    # closed history, open months with keys, other open months, and the increment's own scan
+    assert len(branches) == 4
     assert "NOT (eff_to_month" in plan and "Exchange" not in branches[0]
+    assert "hashpartitioning" in branches[1] and "hashpartitioning" not in branches[3]
 
 
 def test_broadcast_needs_a_bound(spark, tmp_path):
