@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
@@ -39,6 +41,14 @@ class Files:
                 raise
             return []
 
+    def glob(self, base: str, pattern: str) -> list[str]:
+        """Paths below ``base`` that match a pattern, by as many levels as it has."""
+        plain = re.sub(r"([\\*?\[\]{}^])", r"\\\1", base)
+        found = self._fs.globStatus(self._path(f"{plain}/{pattern}"))
+        paths = self._jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(found)
+        levels = pattern.count("/") + 1
+        return ["/".join(path.toString().split("/")[-levels:]) for path in paths or ()]
+
     def usage(self, path: str) -> tuple[int, int]:
         """Bytes and number of files below a directory."""
         summary = self._fs.getContentSummary(self._path(path))

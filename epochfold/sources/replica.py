@@ -669,21 +669,19 @@ class ReplicaStore:
     def _files(self, partitions: list[Partition] | None) -> list[str]:
         """Files of some partitions, or of all, by their path below the root."""
         if partitions is None:
-            paths: list[str] = []
-            self._each(
-                lambda n: paths.extend(f"{n}/{m}" for m in self.files.names(f"{self.root}/{n}")),
-                self._partition_roots(),
-            )
-        else:
-            paths = [self._directory(p) for p in partitions]
+            return self._listed(["*"])
+        paths = {self._directory(p) for p in partitions}
+        found = self._listed(sorted({path.split("/")[0].split("=", 1)[1] for path in paths}))
+        return [name for name in found if name.rsplit("/", 1)[0] in paths]
+
+    def _listed(self, months: list[str]) -> list[str]:
+        """Files of all partitions that end in these months: one call each."""
         found: list[str] = []
+        to, start = self.contract.partition_columns
         self._each(
-            lambda p: found.extend(
-                f"{p}/{n}" for n in self.files.names(f"{self.root}/{p}") if n[0] not in "_."
-            ),
-            paths,
+            lambda m: found.extend(self.files.glob(self.root, f"{to}={m}/{start}=*/*")), months
         )
-        return sorted(found)
+        return sorted(name for name in found if name.rsplit("/", 1)[1][0] not in "_.")
 
     def _announce(self, stage: str, partitions: list[Partition] | None) -> None:
         """Note the files there are before others are appended to the replica itself."""
@@ -697,21 +695,7 @@ class ReplicaStore:
         if self.publish_by == "append":
             note = json.loads(self.files.read_text(f"{stage}/appending.json"))
             return sorted(set(self._files(partitions)) - set(note["before"]))
-        found: list[str] = []
-        trees = [f"{stage}/content/{_TREE}={kind}" for kind in (_REPLACE, _APPEND)]
-        months = [(t, n) for t in trees for n in self.files.names(t)]
-        starts: list[tuple[str, str]] = []
-        self._each(
-            lambda m: starts.extend((m[0], f"{m[1]}/{n}") for n in self.files.names("/".join(m))),
-            months,
-        )
-        self._each(
-            lambda p: found.extend(
-                f"{p[1]}/{n}" for n in self.files.names("/".join(p)) if n[0] not in "_."
-            ),
-            starts,
-        )
-        return sorted(found)
+        return sorted(self._staged_paths(stage))
 
     def _new_stage(self, run_id: str) -> str:
         return f"{self.root}/_staging/{run_id}"
@@ -743,26 +727,20 @@ class ReplicaStore:
         """Whether all that a manifest adds is there, in the staging area or in its place."""
         if manifest["publish"] == "copy":
             return not manifest["replace"] or self.files.exists(f"{stage}/content")
-        staged = set()
-        if manifest["publish"] == "move":
-            staged = set(self._staged_paths(stage))
-        missing: list[str] = []
-        self._each(
-            lambda n: None if self.files.exists(f"{self.root}/{n}") else missing.append(n),
-            [name for name in manifest["new"] if name not in staged],
-        )
-        return not missing
+        staged = self._staged_paths(stage) if manifest["publish"] == "move" else {}
+        missing = {name for name in manifest["new"] if name not in staged}
+        months = sorted({name.split("/")[0].split("=", 1)[1] for name in missing})
+        return missing <= set(self._listed(months))
 
     def _staged_paths(self, stage: str) -> dict[str, str]:
         """Where each staged file is, by the path it will have below the root."""
-        out = {}
-        for kind in (_REPLACE, _APPEND):
-            tree = f"{stage}/content/{_TREE}={kind}"
-            for month in self.files.names(tree):
-                for start in self.files.names(f"{tree}/{month}"):
-                    for name in self.files.names(f"{tree}/{month}/{start}"):
-                        out[f"{month}/{start}/{name}"] = f"{tree}/{month}/{start}/{name}"
-        return out
+        content = f"{stage}/content"
+        found = self.files.glob(content, f"{_TREE}=*/*/*/*")
+        return {
+            path.split("/", 1)[1]: f"{content}/{path}"
+            for path in found
+            if path.rsplit("/", 1)[1][0] not in "_."
+        }
 
     def _publish(self, stage: str, manifest: dict) -> None:
         """Put new files in place and delete replaced ones. Every step may be repeated."""
@@ -786,7 +764,7 @@ class ReplicaStore:
                 raise LoadError(f"files of {stage} are gone; nothing was deleted")
             self.owner.check()
             self._each(lambda n: self.files.delete(f"{self.root}/{n}"), manifest["old"])
-            self._drop_empty(manifest["old"])
+            self._drop_empty(manifest["old"], manifest["new"])
         self.owner.check()
         if "run_id" in manifest:
             self._record(manifest, time.monotonic() - started)
@@ -799,25 +777,52 @@ class ReplicaStore:
         A file that is no longer where it was staged may have been moved by another process; whether
         all are in place is asked afterwards.
         """
+        to, start = self.contract.partition_columns
+        here = set(self.files.glob(self.root, f"{to}=*/{start}=*"))
+        months = {path.split("/")[0] for path in here}
+        trees: dict[str, dict[str, list[str]]] = {}
+        for name, path in staged.items():
+            month, first, _ = name.split("/")
+            tree = path[: -len(name) - 1]
+            trees.setdefault(month, {}).setdefault(tree, []).append(f"{month}/{first}")
+        # A directory that the replica lacks is moved as a whole. It can only come into being by a move
+        # of the same directory, so two processes cannot put one into the other.
+        whole: dict[str, str] = {}
+        for month, found in trees.items():
+            if month not in months and len(found) == 1:
+                (tree,) = found
+                whole[month] = f"{tree}/{month}"
+                continue
+            for tree, paths in found.items():
+                whole |= {path: f"{tree}/{path}" for path in paths if path not in here}
         self._each(
-            lambda path: self.files.make(f"{self.root}/{path}"),
-            sorted({name.rsplit("/", 1)[0] for name in staged}),
+            lambda month: self.files.make(f"{self.root}/{month}"),
+            sorted({path.split("/")[0] for path in whole if "/" in path} - months),
         )
+        covered = {*whole}
 
-        def move(name: str) -> None:
+        def move(item: tuple[str, str]) -> None:
+            path, source = item
             try:
-                self.files.move(staged[name], f"{self.root}/{name}")
+                self.files.move(source, f"{self.root}/{path}")
             except OSError:
-                if not self.files.exists(f"{self.root}/{name}"):
+                if self.files.exists(source):
                     raise
 
-        self._each(move, list(staged))
+        self._each(move, list(whole.items()))
+        single = {
+            name: path
+            for name, path in staged.items()
+            if name.split("/")[0] not in covered and name.rsplit("/", 1)[0] not in covered
+        }
+        self._each(move, list(single.items()))
 
-    def _drop_empty(self, deleted: list[str]) -> None:
+    def _drop_empty(self, deleted: list[str], added: list[str]) -> None:
         """Remove directories that the deleted files have left empty."""
         if not self.files.renames:
             return  # object stores have no directories
-        starts = sorted({name.rsplit("/", 1)[0] for name in deleted})
+        filled = {name.rsplit("/", 1)[0] for name in added}
+        starts = sorted({name.rsplit("/", 1)[0] for name in deleted} - filled)
         for paths in (starts, sorted({path.rsplit("/", 1)[0] for path in starts})):
             self._each(lambda path: self.files.delete_if_empty(f"{self.root}/{path}"), paths)
 
@@ -828,12 +833,9 @@ class ReplicaStore:
             found = json.loads(self.files.read_text(note))
             paths = found["paths"]
             before = set(found["before"])
-            if paths is None:
-                there = self._files(None)
-            else:
-                there = [
-                    f"{p}/{n}" for p in paths for n in self.files.names(f"{self.root}/{p}") if n[0] not in "_."
-                ]
+            there = self._files(None)
+            if paths is not None:
+                there = [name for name in there if name.rsplit("/", 1)[0] in set(paths)]
             self.owner.check()
             self._each(
                 lambda n: self.files.delete(f"{self.root}/{n}"), [n for n in there if n not in before]
