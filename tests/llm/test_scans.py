@@ -167,6 +167,59 @@ def test_parts_of_a_sequence_are_tagged_as_the_whole():
         assert (secret_scan.tag(scores, moves) == secret_scan.viterbi(scores, moves)).all()
 
 
+def test_blocks_of_many_sequences():
+    """Several sequences in one run, in blocks of any size, are tagged as each alone."""
+    rng = np.random.default_rng(4)
+    for size in (1, 2, 7, 64):
+        sizes = rng.integers(1, 50, 30)
+        moves = rng.normal(0, 1, (3, 3)) + secret_scan._ALLOWED
+        each = [rng.normal(0, 3, (n, 3)) for n in sizes]
+        firsts = np.zeros(sizes.sum(), bool)
+        firsts[np.cumsum(sizes) - sizes] = True
+        found = secret_scan.decode(np.concatenate(each), moves, firsts, size)
+        assert (found == np.concatenate([secret_scan.viterbi(x, moves) for x in each])).all()
+
+
+LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+#: Secrets that no pattern matches, with the least share that the CRF has to find.
+MISSED = {
+    "pwd=": (lambda r: f"pwd={r(LETTERS, 16)}", 0.3),
+    "capital hex": (lambda r: f"digest {r('0123456789ABCDEF', 40)}", 0.9),
+    "bearer": (lambda r: f"Authorization: Bearer {r(LETTERS, 40)}", 0.9),
+    "key block": (lambda r: f"-----BEGIN KEY-----\n{r(LETTERS, 64)}\n{r(LETTERS, 64)}\n-----END KEY-----", 0.7),
+    "prefix": (lambda r: f"ghp_{r(LETTERS, 36)}", 0.9),
+}
+
+
+def test_crf_adds_spans_of_its_own(spark):
+    """Planted secrets in held-out texts: recall of each form, and false spans in the texts without."""
+    table = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").orderBy("doc_id").limit(4000)
+    texts = [r.text for r in table.collect() if r.text]
+    with_base = [t for t in texts if plain_spans(t)]
+    without = [t for t in texts if not plain_spans(t)]
+    finder = secret_scan.Finder(*secret_scan.train(with_base + without[:200]))
+    rng = np.random.default_rng(5)
+    held = without[200:1200]
+    false = sum(k == 3 for spans in finder(held) for _, k, _ in spans)
+    assert false <= 0.5 * sum(map(len, held)) / 1e6
+    for make, least in MISSED.values():
+        hits = 0
+        for text in held[:100]:
+            secret = make(lambda letters, n: "".join(rng.choice(list(letters), n)))
+            at = max(text.find(" ", len(text) // 2), 0)
+            (spans,) = finder([f"{text[:at]} {secret} {text[at:]}"])
+            hits += any(k == 3 and a < at + 1 + len(secret) and b > at + 1 for a, k, b in spans)
+        assert hits >= 100 * least
+
+
+def test_memory_of_long_tokens():
+    """A text without spaces is one token; what is remembered of it does not grow with it."""
+    scores = secret_scan.Scores(np.zeros((secret_scan.BUCKETS, 3), np.float32))
+    tokens = [[chr(0x4E00 + i) * (1 << 16)] for i in range(50)]
+    scores(tokens, [["fd0", "fs0", "ft0"]] * 50)
+    assert sum(map(len, scores.known)) <= 50 * 2 * secret_scan.LOOKED_AT
+
+
 def test_crf_finds_what_it_was_not_told(docs):
     texts = sorted(docs.values())
     with_base = [t for t in texts if plain_spans(t)]
