@@ -24,6 +24,9 @@ from epochfold.llm.shared import pick, stored
 BLOCK = 8
 #: A cell is so many ranges wide, so half of the vectors are in reach of a second cell.
 WIDTH = 4
+#: Grid coordinates at most: a vector is in reach of some 1.5 ** DEPTH cells a block, so of a bounded
+#: number, whatever the table holds.
+DEPTH = 4
 #: Vectors that are compared in one piece. Larger cells are dealt to pairs of chunks.
 CELL = 2000
 #: Crowded cells that are broadcast at most, 16 bytes each; more are joined by shuffle.
@@ -68,7 +71,15 @@ def space(size: int, cosine: float) -> Space:
     return _SPACES[key]
 
 
-def units(rows: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Vectors of one length as the rows of a matrix."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    flat = np.asarray(column.flatten(), np.float64)
+    return flat.reshape(len(column), -1)
+
+
+def units(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Vectors in double precision, their lengths, and the vectors at length 1."""
     x = np.asarray(rows, np.float64)
     scale = np.abs(x).max(1, keepdims=True)  # squares of large or small numbers leave the range
@@ -77,7 +88,7 @@ def units(rows: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return x, length, x / length[:, None]
 
 
-def _cells(batch: list, labels: list, cosine: float, depth: int):
+def _cells(batch: np.ndarray, labels: list, cosine: float, depth: int):
     """(row, block, cell key, home) for every cell that a row is in reach of."""
     _, _, unit = units(batch)
     grid = space(unit.shape[1], cosine)
@@ -217,14 +228,14 @@ def duplicates(vectors: DataFrame, cosine: float = 0.98) -> DataFrame:
     classes = stored(_classes(rows), "vectors")
     most = classes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
     # enough grid coordinates that an even spread leaves cells below CELL
-    depth = min(BLOCK, max(1, math.ceil(math.log(max(1, most / CELL)) / math.log(2.5))))
+    depth = min(DEPTH, max(1, math.ceil(math.log(max(1, most / CELL)) / math.log(2.5))))
 
     def cells_of(batches, whole):
         for batch in batches:
             sizes = np.asarray(pc.list_value_length(batch["embedding"]))
             for size in np.unique(sizes).tolist():
                 same = batch.take(pa.array(np.flatnonzero(sizes == size)))
-                vector = same["embedding"].to_pylist()
+                vector = matrix(same["embedding"])
                 found = _cells(vector, same["label"].to_pylist(), cosine, depth)
                 for at, block, key, home in found:
                     for k in range(0, len(at), 5000):
@@ -267,7 +278,7 @@ def duplicates(vectors: DataFrame, cosine: float = 0.98) -> DataFrame:
                 "copies": rows["copies"].to_numpy(),
                 "home": home,
                 "chunk": rows["chunk"].to_numpy(),
-                "embedding": rows["embedding"].to_pylist(),
+                "embedding": matrix(rows["embedding"]),
                 "chunks": chunks,
             }
             links = _compare(work, rows["block"][0].as_py(), cosine)
