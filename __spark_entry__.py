@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from epochfold.functions import months
 from epochfold.model import APPEND_CLOSE, MERGE
 from epochfold.operators import apply, increment, partitions, reconcile
 from epochfold.plans import orders_history as history
@@ -80,6 +81,11 @@ def closed_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return increment.closed_keys(_inputs(spark, sf_dir)[1])
 
 
+def closed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Increment rows that close a version, by a range of end dates."""
+    return _inputs(spark, sf_dir)[1].where(months.closed_by_end(history.CONTRACT))
+
+
 def surviving_open(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply.surviving_open(*_inputs(spark, sf_dir))
 
@@ -145,6 +151,16 @@ def store_batched_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read()
 
 
+def store_other_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An increment whose column names differ from the replica's by case."""
+    orders = history.orders(spark, sf_dir)
+    store = ReplicaStore(spark, shared_folder(spark, "replica-names"))
+    store.initial_load(history.initial(orders))
+    raw = history.increment(orders)
+    store.apply(raw.toDF(*[c.upper() for c in raw.columns]), APPEND_CLOSE, run_id="first")
+    return store.read()
+
+
 def store_partition_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a load changed, from the run report."""
     report = _loaded(spark, sf_dir, APPEND_CLOSE).partition_report()
@@ -240,6 +256,7 @@ _QUERIES: list[Query] = [
     merge_upsert_late,
     increment_prepared,
     closed_keys,
+    closed_rows,
     surviving_open,
     merge_actions,
     merge_conflicts,
@@ -250,6 +267,7 @@ _QUERIES: list[Query] = [
     store_append_publish,
     store_reinitialised,
     store_batched_months,
+    store_other_names,
     store_partition_report,
     store_stage_report,
     open_view,
@@ -433,6 +451,7 @@ def oracle_sql() -> dict[str, str]:
         "closed_keys": f"""{_with()}
 SELECT DISTINCT id, eff_from_month, CAST(eff_from_dt AS VARCHAR) AS eff_from_dt
   FROM incr WHERE eff_to_month <> '5999-12-31'""",
+        "closed_rows": f"{_with()} SELECT {_ROW} FROM incr WHERE eff_to_month <> '5999-12-31'",
         "surviving_open": f"{_with()} SELECT {_ROW} FROM survivors",
         "merge_actions": f"""{_with()}
 SELECT 'update' AS action, CAST(COUNT(*) AS BIGINT) AS "rows" FROM matched
@@ -454,6 +473,7 @@ SELECT i.id, CAST(i.eff_from_dt AS VARCHAR) AS eff_from_dt, i.source_rows,
         "store_copy_publish": f"{_with()} SELECT {_ROW} FROM v1",
         "store_append_publish": f"{_with()} SELECT {_ROW} FROM late_v2",
         "store_reinitialised": f"{_with()} SELECT {_ROW} FROM v1",
+        "store_other_names": f"{_with()} SELECT {_ROW} FROM v1",
         "store_batched_months": f"{_with()} SELECT {_ROW} FROM v2",
         "store_partition_report": f"""{_with()}
 SELECT eff_to_month, eff_from_month,

@@ -75,18 +75,25 @@ def text_months(schema: T.StructType, contract: Contract = Contract()) -> T.Stru
 def align(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select the columns of ``schema`` in its order.
 
-    Extra columns go, a missing one is an error. A type may differ only where Spark can widen it
-    without loss; a timestamp never becomes a date, because that would merge versions of one day.
+    Names match by the session's case rule. Extra columns go; a missing one is an error, and so are
+    several that match one. A type may differ only where Spark can widen it without loss: integers and
+    decimals may gain digits, but a timestamp never becomes a date, because that would merge versions
+    of one day.
     """
-    have = {f.name: f.dataType for f in df.schema.fields}
-    missing = [f.name for f in schema.fields if f.name not in have]
-    if missing:
+    sensitive = df.sparkSession.conf.get("spark.sql.caseSensitive") == "true"
+    have: dict[str, list[T.StructField]] = {}
+    for found in df.schema.fields:
+        have.setdefault(found.name if sensitive else found.name.lower(), []).append(found)
+    matches = {f.name: have.get(f.name if sensitive else f.name.lower(), []) for f in schema.fields}
+    if missing := [name for name, found in matches.items() if not found]:
         raise ValueError(f"increment lacks replica columns {missing}")
+    if several := {name: [f.name for f in found] for name, found in matches.items() if len(found) > 1}:
+        raise ValueError(f"increment has several columns for one of the replica: {several}")
     out, wrong = [], []
     for field in schema.fields:
-        source, target = have[field.name], field.dataType
+        source, target = matches[field.name][0].dataType, field.dataType
         if source.simpleString() == target.simpleString():
-            out.append(col(field.name))
+            out.append(col(field.name).alias(field.name))
         elif _widens(source, target):
             out.append(col(field.name).cast(target).alias(field.name))
         else:
@@ -100,6 +107,14 @@ _INTEGRALS = [T.ByteType, T.ShortType, T.IntegerType, T.LongType]
 
 
 def _widens(source: T.DataType, target: T.DataType) -> bool:
+    if isinstance(target, T.DecimalType):
+        if type(source) in _INTEGRALS:
+            whole, scale = (3, 5, 10, 19)[_INTEGRALS.index(type(source))], 0
+        elif isinstance(source, T.DecimalType):
+            whole, scale = source.precision - source.scale, source.scale
+        else:
+            return isinstance(source, T.NullType)
+        return target.scale >= scale and target.precision - target.scale >= whole
     if type(source) in _INTEGRALS and type(target) in _INTEGRALS:
         return _INTEGRALS.index(type(source)) <= _INTEGRALS.index(type(target))
     if isinstance(source, T.NullType):

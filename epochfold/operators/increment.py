@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from epochfold.functions.months import closed_by_month, month_end
+from epochfold.functions.months import closed_by_end, month_end
 from epochfold.model import APPEND_CLOSE, Contract, align, check_mode, col, text_months
 
 ROWS = "source_rows"
@@ -48,11 +48,11 @@ def version_keys(prepared: DataFrame, contract: Contract = Contract()) -> DataFr
 
 def closed_keys(prepared: DataFrame, contract: Contract = Contract()) -> DataFrame:
     """Distinct keys of the versions the increment closes."""
-    return version_keys(prepared.where(closed_by_month(contract)), contract).drop(ROWS)
+    return version_keys(prepared.where(closed_by_end(contract)), contract).drop(ROWS)
 
 
 def displacing_keys(prepared: DataFrame, mode: str, contract: Contract = Contract()) -> DataFrame:
     """Keys whose old replica rows go, with their row counts in the increment."""
     if check_mode(mode) == APPEND_CLOSE:
-        prepared = prepared.where(closed_by_month(contract))
+        prepared = prepared.where(closed_by_end(contract))
     return version_keys(prepared, contract)

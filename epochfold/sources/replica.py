@@ -3,7 +3,7 @@
 Layout below the root::
 
     to_month=.../from_month=.../   data files
-    _schema.json                   columns, and the number of the replica's generation
+    _schema.json                   columns, number of the generation, time zone of the months
     _initial_load                  only while the first content is being written
     _owner                         the load that may change the replica, while there is one
     _staging/<run_id>/             keys, new content and manifest of an unfinished load
@@ -222,7 +222,7 @@ class ReplicaStore:
             with self._shuffling(size):
                 self._write(rows, self.root, "append")
             self.owner.check()
-            self._set_schema(schema, epoch)
+            self._set_schema(schema, epoch, self._zone(schema))
             self.files.delete(self._unfinished)
             return
         if not overwrite:
@@ -237,7 +237,11 @@ class ReplicaStore:
         else:
             with self._shuffling(size):
                 self._write(rows.withColumn(_TREE, F.lit(_REPLACE)), f"{stage}/content")
-        manifest = {"schema": schema.jsonValue(), "epoch": self.epoch + 1}
+        manifest = {
+            "schema": schema.jsonValue(),
+            "epoch": self.epoch + 1,
+            "zone": self._zone(schema),
+        }
         if self.publish_by == "copy":
             staged = {
                 (r[self.contract.to_month], r[self.contract.from_month])
@@ -317,6 +321,7 @@ class ReplicaStore:
         stage = self._new_stage(run_id)
         try:
             report: list[dict] = []
+            self._check_zone()
             prepared = prepare(increment, self.schema, self.contract)
             replica = self.read()
 
@@ -709,8 +714,20 @@ class ReplicaStore:
         """Anything a reader of the root would see."""
         return [n for n in self.files.names(self.root) if not n.startswith(("_", "."))]
 
-    def _set_schema(self, schema: T.StructType, epoch: int) -> None:
-        described = {"epoch": epoch, "schema": schema.jsonValue()}
+    def _zone(self, schema: T.StructType) -> str | None:
+        """The session's zone, if the months of these columns depend on it."""
+        ends = (self.contract.valid_from, self.contract.valid_to)
+        zoned = any(isinstance(schema[c].dataType, T.TimestampType) for c in ends)
+        return self.spark.conf.get("spark.sql.session.timeZone") if zoned else None
+
+    def _check_zone(self) -> None:
+        """Months of zoned timestamps were derived in one zone, and partitions are pruned by them."""
+        zone, here = self._described().get("zone"), self._zone(self.schema)
+        if zone is not None and zone != here:
+            raise LoadError(f"the months of {self.root} are those of zone {zone}, not {here}")
+
+    def _set_schema(self, schema: T.StructType, epoch: int, zone: str | None) -> None:
+        described = {"epoch": epoch, "zone": zone, "schema": schema.jsonValue()}
         self.files.write_text(f"{self.root}/_schema.json", json.dumps(described))
         self._schema = schema
 
@@ -748,7 +765,7 @@ class ReplicaStore:
         self.owner.check()
         if "schema" in manifest:
             schema = T.StructType.fromJson(manifest["schema"])
-            self._set_schema(schema, manifest.get("epoch", 0))
+            self._set_schema(schema, manifest.get("epoch", 0), manifest.get("zone"))
         # What was staged depends on the method, so a replay keeps to it.
         if manifest["publish"] == "copy":
             self._overwrite_partitions(stage, manifest)
