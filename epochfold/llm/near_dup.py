@@ -415,7 +415,9 @@ def components(
     wanted = where.select("node", F.col("at.doc_id").alias("id"), F.col("at.text_hash").alias("hash"))
     same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("hash"))
     text = F.col("text").cast("binary").alias("text")
-    texts = stored(hashed.join(wanted, same).select("node", text), "texts")
+    # a row for each repetition of the id and text would be compared with each of the other set's
+    texts = hashed.join(wanted, same).select("node", text).dropDuplicates(["node"])
+    texts = stored(texts, "texts")
     joined = connected(_confirmed(chosen, texts, percent))
 
     # second pass: candidates that are not joined yet

@@ -137,6 +137,24 @@ def test_large_group_of_near_copies(rows, percent, monkeypatch):
     assert got == roots
 
 
+def test_repeated_rows_are_confirmed_once(rows, monkeypatch):
+    """Copies of one row and of a near copy of it are one pair of texts."""
+    words = [f"w{i}" for i in range(200)]
+    one, two = " ".join(words), " ".join([*words[:-1], "other"])
+    stored, sizes = near_dup.stored, {}
+
+    def counted(df, name):
+        out = stored(df, name)
+        sizes[name] = out.count()
+        return out
+
+    monkeypatch.setattr(near_dup, "stored", counted)
+    df = rows("doc_id long, text string", [(1, one)] * 60 + [(2, two)] * 60)
+    found = near_dup.components(df, 85).collect()
+    assert len(found) == 120 and {r.component_id for r in found} == {1}
+    assert sizes["texts"] == 2
+
+
 def test_crowded_regions_are_split_by_deeper_prefixes():
     rng = np.random.default_rng(1)
     keys = rng.integers(0, 3, (500, 9)).astype(">u4")
