@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import suppress
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +14,8 @@ from epochfold.model import APPEND_CLOSE, MERGE
 from epochfold.operators import apply, increment, partitions, reconcile
 from epochfold.plans import orders_history as history
 from epochfold.plans.scratch import shared_folder
-from epochfold.sources.replica import ReplicaStore
+from epochfold.sources.catalog import drop_external
+from epochfold.sources.replica import MergeConflictError, ReplicaStore
 
 try:  # the training-data operators and their pipeline can be left out as a whole
     import corpus_pipeline
@@ -38,16 +40,30 @@ def _inputs(spark: SparkSession, sf_dir: str, **options) -> tuple[DataFrame, Dat
 
 
 def _loaded(
-    spark: SparkSession, sf_dir: str, mode: str, publish: str = "auto", **options
+    spark: SparkSession,
+    sf_dir: str,
+    mode: str,
+    publish: str = "auto",
+    table: str | None = None,
+    **options,
 ) -> ReplicaStore:
     """A stored replica with the first increment applied to it."""
     orders = history.orders(spark, sf_dir)
-    store = ReplicaStore(spark, shared_folder(spark, f"replica-{mode}"), publish=publish)
+    root = shared_folder(spark, f"replica-{mode}")
+    store = ReplicaStore(spark, root, publish=publish, table=table)
     store.initial_load(history.initial(orders))
     store.apply(history.increment(orders, **options), mode, run_id="first")
     return store
 
 
+def _by_name(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
+    """A stored, once loaded replica, read as a table of the session's catalog."""
+    name = f"epochfold_{mode}"
+    drop_external(spark, name)
+    _loaded(spark, sf_dir, mode, table=name)
+    return spark.table(name)
+
+
 def _late(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """A stored, once loaded replica and the late increment for it."""
     loaded = _loaded(spark, sf_dir, APPEND_CLOSE).read()
@@ -161,6 +177,40 @@ def store_other_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read()
 
 
+def store_open_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The open view of a table in the catalog: one directory level is read."""
+    return partitions.open_view(_by_name(spark, sf_dir, APPEND_CLOSE))
+
+
+def store_check_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit of a run by the partitions that it changed."""
+    store = _loaded(spark, sf_dir, APPEND_CLOSE)
+    return store.audit("first", history.increment(history.orders(spark, sf_dir)))
+
+
+def store_check_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit of late rows in an append-close replica: versions are there twice."""
+    store = _loaded(spark, sf_dir, APPEND_CLOSE)
+    late = history.late_increment(store.read())
+    kept = ReplicaStore(spark, shared_folder(spark, "late-rows"))
+    kept.initial_load(late)
+    late = kept.read()
+    store.apply(late, APPEND_CLOSE, run_id="late")
+    return store.audit("late", late)
+
+
+def store_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All attempts: the initial load, one that fails on a repeated version, one that succeeds."""
+    orders = history.orders(spark, sf_dir)
+    store = ReplicaStore(spark, shared_folder(spark, "replica-attempts"))
+    store.initial_load(history.initial(orders))
+    with suppress(MergeConflictError):
+        store.apply(history.increment(orders, repeat=True), MERGE, run_id="first")
+    store.apply(history.increment(orders), MERGE, run_id="first")
+    columns = ("run_id", "stage", "status", "rows_in", "rows_out")
+    return store.attempt_report().select(*columns)
+
+
 def store_partition_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a load changed, from the run report."""
     report = _loaded(spark, sf_dir, APPEND_CLOSE).partition_report()
@@ -230,10 +280,9 @@ def check_counts_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def check_counts_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The merge target is scanned by name, as a catalog table would be."""
+    """The merge target is a table of the catalog, scanned by name."""
     replica, prepared = _inputs(spark, sf_dir)
-    apply.merge(replica, prepared).createOrReplaceTempView("merged_replica")
-    return reconcile.check_counts(replica, prepared, spark.table("merged_replica"), MERGE)
+    return reconcile.check_counts(replica, prepared, _by_name(spark, sf_dir, MERGE), MERGE)
 
 
 def check_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -268,6 +317,10 @@ _QUERIES: list[Query] = [
     store_reinitialised,
     store_batched_months,
     store_other_names,
+    store_open_by_name,
+    store_check_keys,
+    store_check_late,
+    store_attempts,
     store_partition_report,
     store_stage_report,
     open_view,
@@ -435,6 +488,23 @@ violations AS (
 SELECT name AS "check", CAST(bad AS BIGINT) AS violations, bad = 0 AS ok FROM violations"""
 
 
+def _audit(incr: str, target: str) -> str:
+    """Every partition holds what it should; the increment's versions are in the target."""
+    own = f"""{target} t WHERE EXISTS (
+    SELECT 1 FROM {incr} i WHERE i.id = t.id AND i.eff_from_dt = t.eff_from_dt)"""
+    return f"""{_with()},
+violations AS (
+  SELECT 'partition_rows' AS name, 0 AS bad
+  UNION ALL SELECT 'increment_rows_present', (SELECT COUNT(*) FROM (
+    SELECT {_COLUMNS} FROM {incr} EXCEPT ALL SELECT {_COLUMNS} FROM {target}) AS d)
+  UNION ALL SELECT 'closed_keys_not_open', (SELECT COUNT(*) FROM {target} t
+    WHERE t.eff_to_month = '5999-12-31' AND EXISTS (SELECT 1 FROM {incr} i
+      WHERE i.eff_to_month <> '5999-12-31' AND i.id = t.id AND i.eff_from_dt = t.eff_from_dt))
+  UNION ALL SELECT 'one_row_per_version', (SELECT COUNT(*) FROM {own})
+    - (SELECT COUNT(*) FROM (SELECT DISTINCT id, eff_from_dt FROM {own}) AS d))
+SELECT name AS "check", CAST(bad AS BIGINT) AS violations, bad = 0 AS ok FROM violations"""
+
+
 def _partition_counts(table: str) -> str:
     return f"""{_with()}
 SELECT eff_to_month, eff_from_month, CAST(COUNT(*) AS BIGINT) AS "rows"
@@ -475,6 +545,31 @@ SELECT i.id, CAST(i.eff_from_dt AS VARCHAR) AS eff_from_dt, i.source_rows,
         "store_reinitialised": f"{_with()} SELECT {_ROW} FROM v1",
         "store_other_names": f"{_with()} SELECT {_ROW} FROM v1",
         "store_batched_months": f"{_with()} SELECT {_ROW} FROM v2",
+        "store_open_by_name": f"{_with()} SELECT {_ROW} FROM v1 WHERE eff_to_month = '5999-12-31'",
+        "store_check_keys": _audit("incr", "v1"),
+        "store_check_late": _audit("late", "late_v1"),
+        "store_attempts": f"""{_with()},
+t AS (SELECT SUM(rows_before) AS before_rows, SUM(replaced) AS replaced, SUM(incoming) AS incoming,
+             SUM(rows_after) AS after_rows,
+             SUM(CASE WHEN replaced > 0 THEN rows_before ELSE 0 END) AS rewritten,
+             SUM(CASE WHEN replaced > 0 OR rows_before = 0 THEN rows_after
+                      ELSE incoming END) AS staged FROM touched),
+again AS (SELECT COUNT(*) AS n FROM base WHERE id % 20 = 3 AND id % 3 = 0),
+keys AS (SELECT COUNT(*) AS n FROM (SELECT DISTINCT id, eff_from_dt FROM incr)),
+whole AS (SELECT COUNT(*) AS n FROM replica),
+s AS (
+  SELECT 'initial-load' AS run_id, stage, 'done' AS status, n AS rows_in, n AS rows_out
+    FROM whole, (VALUES ('profile'), ('stage'), ('verify')) AS v(stage)
+  UNION ALL SELECT 'first', 'profile', 'done', incoming + n, incoming + n FROM t, again
+  UNION ALL SELECT 'first', 'keys', 'done', incoming + again.n, keys.n FROM t, again, keys
+  UNION ALL SELECT 'first', 'detect', 'failed', 0, 0
+  UNION ALL SELECT 'first', 'profile', 'done', incoming, incoming FROM t
+  UNION ALL SELECT 'first', 'keys', 'done', incoming, n FROM t, keys
+  UNION ALL SELECT 'first', 'detect', 'done', before_rows, replaced FROM t
+  UNION ALL SELECT 'first', 'stage', 'done', rewritten + incoming, staged FROM t
+  UNION ALL SELECT 'first', 'verify', 'done', staged, staged FROM t)
+SELECT run_id, stage, status, CAST(rows_in AS BIGINT) AS rows_in,
+       CAST(rows_out AS BIGINT) AS rows_out FROM s""",
         "store_partition_report": f"""{_with()}
 SELECT eff_to_month, eff_from_month,
        CASE WHEN rows_after = 0 THEN 'remove' WHEN replaced > 0 OR rows_before = 0 THEN 'replace'
@@ -489,8 +584,8 @@ t AS (SELECT COUNT(*) AS parts, SUM(rows_before) AS before_rows, SUM(replaced) A
 s AS (
   SELECT 'profile' AS stage, (SELECT COUNT(*) FROM touched WHERE incoming > 0) AS parts,
          incoming AS rows_in, incoming AS rows_out FROM t
-  UNION ALL SELECT 'keys', (SELECT COUNT(DISTINCT eff_from_month) FROM incr), incoming, incoming
-    FROM t
+  UNION ALL SELECT 'keys', (SELECT COUNT(DISTINCT eff_from_month) FROM incr), incoming,
+         (SELECT COUNT(*) FROM (SELECT DISTINCT id, eff_from_dt FROM incr)) FROM t
   UNION ALL SELECT 'detect', parts, before_rows, replaced FROM t
   UNION ALL SELECT 'stage', parts, rewritten + incoming, staged FROM t
   UNION ALL SELECT 'verify', parts, staged, staged FROM t

@@ -15,7 +15,7 @@ from epochfold.functions.months import (
 )
 from epochfold.model import APPEND_CLOSE, Contract, check_mode, col
 from epochfold.operators.apply import kept_rows, on_version
-from epochfold.operators.increment import closed_keys
+from epochfold.operators.increment import ROWS, closed_keys
 
 
 class ReconciliationError(RuntimeError):
@@ -111,6 +111,76 @@ def check_keys(
     return reduce(DataFrame.unionAll, parts).withColumn("ok", F.col("violations") == 0)
 
 
+def check_partition_rows(
+    expected: DataFrame, counts: DataFrame, contract: Contract = Contract()
+) -> DataFrame:
+    """Rows by which partitions differ from what a report says they hold.
+
+    ``expected`` has (to_month, from_month, rows_now), ``counts`` is ``partition_counts`` of the
+    partitions as they are. Both have a row per month pair; NULL months are compared too.
+    """
+    to, start = (col(c) for c in contract.partition_columns)
+    said = expected.select("to_month", "from_month", F.col("rows_now").alias("rows"))
+    found = counts.select(to.alias("to_month"), start.alias("from_month"), (-F.col("rows")).alias("rows"))
+    off = said.unionByName(found).groupBy("to_month", "from_month").agg(F.sum("rows").alias("off"))
+    return off.agg(F.coalesce(F.sum(F.abs("off")), F.lit(0)).alias("violations")).select(
+        F.lit("partition_rows").alias("check"), "violations", (F.col("violations") == 0).alias("ok")
+    )
+
+
+def check_increment(
+    prepared: DataFrame,
+    target: DataFrame,
+    siblings: DataFrame,
+    keys: DataFrame,
+    contract: Contract = Contract(),
+) -> DataFrame:
+    """Checks of the increment's own versions in a loaded replica, whatever else it holds.
+
+    ``target`` are the replica's rows that may be the increment's, ``siblings`` those that start in
+    the same months; ``keys`` are ``version_keys`` of the increment, with or without a hint. Only rows
+    of those versions, and rows with a NULL in the key, enter a comparison. ``increment_rows_present``
+    compares whole rows as bags, ``closed_keys_not_open`` and ``one_row_per_version`` count rows by
+    version. The last does not hold where the increment itself repeats a version, or where an
+    append-close load got late rows.
+    """
+    id_, start = (col(c) for c in contract.version_key)
+    names, zero = target.columns, F.lit(0)
+    keys = keys.drop(ROWS)
+
+    def tagged(df: DataFrame, have: int, names: list[str]) -> DataFrame:
+        sides = [F.lit(1 - have).alias("__incr"), F.lit(have).alias("__have")]
+        return df.select(*(col(c) for c in names), *sides)
+
+    own = on_version(target, keys, "left_semi", contract)
+    own = own.unionAll(target.where(id_.isNull() | start.isNull()))
+    every = tagged(prepared, 0, names).unionAll(tagged(own, 1, names))
+    lacking = F.greatest(F.sum("__incr") - F.sum("__have"), zero).alias("lacking")
+    bags = every.groupBy(*(col(c) for c in names)).agg(lacking)
+    present = bags.agg(F.coalesce(F.sum("lacking"), zero).alias("violations"))
+
+    names = [*contract.version_key, contract.to_month]
+    own = siblings.select(*(col(c) for c in names))
+    own = on_version(own, keys, "left_semi", contract)
+    every = tagged(prepared, 0, names).unionAll(tagged(own, 1, names))
+    closes = F.max(F.when(F.col("__have") == 0, closed_by_month(contract))).alias("closes")
+    is_open = F.when((F.col("__have") == 1) & open_by_month(contract), 1).otherwise(0)
+    versions = every.where(id_.isNotNull() & start.isNotNull()).groupBy(id_, start)
+    versions = versions.agg(closes, F.sum(is_open).alias("open"), F.sum("__have").alias("rows"))
+    counted = versions.agg(
+        F.coalesce(F.sum(F.when(F.col("closes"), F.col("open"))), zero).alias("open"),
+        F.coalesce(F.sum(F.greatest(F.col("rows") - 1, zero)), zero).alias("again"),
+    ).select(
+        F.stack(
+            F.lit(2),
+            F.lit("closed_keys_not_open"), F.col("open"),
+            F.lit("one_row_per_version"), F.col("again"),
+        ).alias("check", "violations")
+    )
+    checks = present.select(F.lit("increment_rows_present").alias("check"), "violations")
+    return checks.unionAll(counted).withColumn("ok", F.col("violations") == 0)
+
+
 def _surplus_rows(target: DataFrame, contract: Contract) -> DataFrame:
     """Rows beyond the first of a version key, and open rows beyond the first of an id.
 

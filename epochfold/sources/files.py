@@ -27,6 +27,10 @@ class Files:
     def scheme(self) -> str:
         return self._fs.getUri().getScheme()
 
+    def qualified(self, path: str) -> str:
+        """The path with its file system, however it was given."""
+        return self._fs.makeQualified(self._path(path)).toString()
+
     def exists(self, path: str) -> bool:
         return self._fs.exists(self._path(path))
 

@@ -35,7 +35,12 @@ from pyspark.sql import types as T
 
 from epochfold.model import APPEND_CLOSE, Contract, align, check_mode, col, text_months
 from epochfold.operators.apply import CARDINALITY_ERROR, on_version
-from epochfold.operators.increment import displacing_keys, prepare, with_months
+from epochfold.operators.increment import (
+    displacing_keys,
+    prepare,
+    version_keys,
+    with_months,
+)
 from epochfold.operators.partitions import (
     Partition,
     in_partitions,
@@ -43,6 +48,8 @@ from epochfold.operators.partitions import (
     replaced_counts,
     replaced_rows,
 )
+from epochfold.operators.reconcile import check_increment, check_partition_rows
+from epochfold.sources.catalog import sync_table
 from epochfold.sources.files import Files
 from epochfold.sources.owner import FencedError, Owner
 
@@ -56,6 +63,8 @@ _WIDTH = "spark.sql.shuffle.partitions"
 # Compressed file bytes per shuffle task, several times as much once decoded.
 _BYTES_PER_TASK = 128 << 20
 _INITIAL = "initial-load"
+# Of an error's message in a report.
+_ERROR_CHARS = 2000
 _FIXED_WIDTH = (T.NumericType, T.DatetimeType, T.BooleanType)
 
 STAGES = (
@@ -64,7 +73,11 @@ STAGES = (
 )
 PARTITIONS = (
     "run_id string, to_month string, from_month string, action string, "
-    "rows_before long, replaced long, incoming long, rows_after long, epoch long"
+    "rows_before long, replaced long, incoming long, rows_after long, epoch long, finished double"
+)
+ATTEMPTS = (
+    "attempt string, run_id string, mode string, stage string, status string, partitions long, "
+    "rows_in long, rows_out long, seconds double, error string, epoch long, started double"
 )
 
 
@@ -93,6 +106,14 @@ class PartitionChange:
         return (self.to_month, self.from_month)
 
 
+class Attempt(list):
+    """The stage rows of one attempt at a load, and the file that they are written to."""
+
+    def __init__(self, path: str, about: dict):
+        super().__init__()
+        self.path, self.about = path, about
+
+
 class ReplicaStore:
     """Reads and writes one replica.
 
@@ -104,6 +125,9 @@ class ReplicaStore:
     also compacted if it holds more than ``crowded`` files per ``file_bytes`` of data, or files of
     less than ``tiny_bytes`` on average. Months are rewritten in batches of ``batch_bytes``, so that a
     load of any size is a row of jobs of a bounded one.
+
+    ``table`` names an external table of the session's catalog that every load brings up to date
+    (``sources.catalog.sync_table``).
     """
 
     def __init__(
@@ -120,6 +144,7 @@ class ReplicaStore:
         crowded: int = 4,
         tiny_bytes: int = 1 << 20,
         batch_bytes: int = 1 << 40,
+        table: str | None = None,
     ):
         self.spark = spark
         self.root = root.rstrip("/")
@@ -140,6 +165,7 @@ class ReplicaStore:
         self.crowded = crowded
         self.tiny_bytes = tiny_bytes
         self.batch_bytes = batch_bytes
+        self.table = table
         self._unfinished = f"{self.root}/_initial_load"
         self._schema: T.StructType | None = None
 
@@ -184,11 +210,71 @@ class ReplicaStore:
         """One row per partition that a finished load changed."""
         return self._report("partitions", PARTITIONS)
 
+    def attempt_report(self) -> DataFrame:
+        """One row per stage of every attempt at a load, initial or not, written as the stage ends.
+
+        The last row of an attempt that failed has the status ``failed`` and the error; an attempt
+        whose process died has the stages that ended.
+        """
+        return self._report("attempts", ATTEMPTS)
+
+    def partitions(self) -> list[Partition]:
+        """The partitions there are: as many as month pairs, from one listing."""
+        to, start = self.contract.partition_columns
+        paths = self.files.glob(self.root, f"{to}=*/{start}=*")
+        values = ([part.split("=", 1)[1] for part in path.split("/")] for path in paths)
+        none = {_NO_MONTH: None}
+        return sorted({tuple(none.get(v, v) for v in pair) for pair in values}, key=str)
+
+    def changed_partitions(self, run_id: str) -> DataFrame:
+        """(to_month, from_month, incoming, rows_now, last_run) of the partitions that a run changed.
+
+        ``rows_now`` are the rows that a partition must have by the last run of this generation that
+        changed it, ``last_run``.
+        """
+        report = self.partition_report().where(F.col("epoch") == self.epoch)
+        finished, own = F.coalesce("finished", F.lit(0.0)), F.col("run_id") == run_id
+        found = report.groupBy("to_month", "from_month").agg(
+            F.sum(F.when(own, F.col("incoming"))).alias("incoming"),
+            F.max_by("rows_after", finished).alias("rows_now"),
+            F.max_by("run_id", finished).alias("last_run"),
+        )
+        return found.where("incoming is not null")
+
+    def audit(self, run_id: str, increment: DataFrame | None = None) -> DataFrame:
+        """Check a published run by the partitions it changed; (check, violations, ok).
+
+        ``partition_rows`` counts the rows by which partitions differ from the reports; it needs
+        file footers only. With the run's increment, ``reconcile.check_increment`` is asked too: whole
+        rows of those partitions, and the key columns of the months that its versions start in. Rows
+        of a run may be replaced by a later one, so the increment can be checked only while no later
+        run has changed its partitions.
+        """
+        changed = self.changed_partitions(run_id)
+        found = changed.collect()  # as many as month pairs
+        if not found and not self.files.exists(self._recorded("stages", run_id, self.epoch)):
+            raise LoadError(f"no published run {run_id!r} in this generation of {self.root}")
+        contract = self.contract
+        pairs = {(r["to_month"], r["from_month"]) for r in found}
+        replica = self.read()
+        target = replica.where(in_partitions(sorted(pairs, key=str), contract))
+        checks = check_partition_rows(changed, partition_counts(target, contract), contract)
+        if increment is None:
+            return checks
+        if any(r["last_run"] != run_id for r in found):
+            raise LoadError(f"a later run has changed partitions of {run_id!r}")
+        # A version's rows all start in one month, whenever they end.
+        months = sorted({r["from_month"] for r in found if r["incoming"] and r["from_month"]})
+        siblings = replica.where(col(contract.from_month).isin(months))
+        prepared = prepare(increment, self.schema, contract)
+        keys, _ = self._hinted(version_keys(prepared, contract), sum(r["incoming"] for r in found))
+        return checks.unionAll(check_increment(prepared, target, siblings, keys, contract))
+
     def _report(self, kind: str, schema: str) -> DataFrame:
         path = f"{self.root}/_runs/{kind}"
         if not self.files.exists(path):
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).json(path)
+        return self.spark.read.schema(schema).option("pathGlobFilter", "*.json").json(path)
 
     # -- loading -------------------------------------------------------------------------------
 
@@ -208,8 +294,27 @@ class ReplicaStore:
         self.files.make(self.root)
         with self._owning(_INITIAL):
             self._initial(rows, overwrite, clustered)
+            self._sync()
 
     def _initial(self, rows: DataFrame, overwrite: bool, clustered: bool) -> None:
+        """Both ways count the rows of each partition first and compare them with what was written."""
+        if not overwrite and not self.files.exists(self._unfinished) and self._partition_roots():
+            raise LoadError(f"{self.root} already holds a replica")
+        report = self._attempt(_INITIAL, _INITIAL, self.epoch)
+        with self._stage(report, "profile") as row:
+            incoming = self._incoming(rows)
+            total = sum(c.incoming for c in incoming.values())
+            row.update(partitions=len(incoming), rows_in=total, rows_out=total)
+        self._write_initial(rows, clustered, report, incoming)
+
+    def _write_initial(
+        self,
+        rows: DataFrame,
+        clustered: bool,
+        report: Attempt,
+        incoming: dict[Partition, PartitionChange],
+    ) -> None:
+        total = sum(c.incoming for c in incoming.values())
         schema = text_months(rows.schema, self.contract)
         size = 0 if clustered else _planned_bytes(rows)
         if not clustered:
@@ -217,26 +322,43 @@ class ReplicaStore:
         if self.files.exists(self._unfinished):
             self._each(lambda n: self.files.delete(f"{self.root}/{n}"), self._partition_roots())
         if not self._partition_roots():
-            epoch = self.epoch + 1 if self.files.exists(f"{self.root}/_runs") else 0
+            epoch = self.epoch + 1 if self.files.exists(f"{self.root}/_runs/stages") else 0
             self.files.write_text(self._unfinished, "")
-            with self._shuffling(size):
+            with self._stage(report, "stage") as row, self._shuffling(size):
                 self._write(rows, self.root, "append")
+                row.update(partitions=len(incoming), rows_in=total, rows_out=total)
+            with self._stage(report, "verify") as row:
+                reader = self.spark.read.format(self.format).schema(schema)
+                counts = self._partition_roots() and partition_counts(
+                    reader.load(self.root), self.contract
+                ).collect()
+                found = self._verify(counts, incoming)
+                row.update(partitions=len(incoming), rows_in=total, rows_out=found)
             self.owner.check()
             self._set_schema(schema, epoch, self._zone(schema))
             self.files.delete(self._unfinished)
             return
-        if not overwrite:
-            raise LoadError(f"{self.root} already holds a replica")
         self._finish_others()
         stage = self._new_stage(f"initial-{uuid.uuid4().hex}")
         old = self._files(None)
-        if self.publish_by == "append":
-            self._announce(stage, None)
-            with self._shuffling(size):
-                self._write(rows, self.root, "append")
-        else:
-            with self._shuffling(size):
-                self._write(rows.withColumn(_TREE, F.lit(_REPLACE)), f"{stage}/content")
+        try:
+            with self._stage(report, "stage") as row, self._shuffling(size):
+                if self.publish_by == "append":
+                    self._announce(stage, None)
+                    self._write(rows, self.root, "append")
+                else:
+                    self._write(rows.withColumn(_TREE, F.lit(_REPLACE)), f"{stage}/content")
+                row.update(partitions=len(incoming), rows_in=total, rows_out=total)
+            with self._stage(report, "verify") as row:
+                new = self._added(stage, None) if self.publish_by == "append" else []
+                found = self._verify(self._counts_of(stage, new, schema), incoming)
+                row.update(partitions=len(incoming), rows_in=total, rows_out=found)
+            self.owner.check()
+        except FencedError:
+            raise
+        except Exception:
+            self._abandon(stage)
+            raise
         manifest = {
             "schema": schema.jsonValue(),
             "epoch": self.epoch + 1,
@@ -275,6 +397,7 @@ class ReplicaStore:
             self._finish_others()
             if not self.files.exists(self._recorded("stages", run_id, self.epoch)):
                 self._load(increment, mode, run_id)
+            self._sync()
         done = (F.col("run_id") == run_id) & (F.col("epoch") == self.epoch)
         return self.stage_report().where(done)
 
@@ -287,7 +410,15 @@ class ReplicaStore:
         if not self.files.exists(self.root):
             return []
         with self._owning("recovery", over=True):
-            return self._finish_others()
+            finished = self._finish_others()
+            if not self.files.exists(self._unfinished):
+                self._sync()
+            return finished
+
+    def _sync(self) -> None:
+        if self.table is not None:
+            self.owner.check()
+            sync_table(self, self.table)
 
     @contextmanager
     def _owning(self, run_id: str, over: bool = False):
@@ -320,7 +451,7 @@ class ReplicaStore:
     def _load(self, increment: DataFrame, mode: str, run_id: str) -> None:
         stage = self._new_stage(run_id)
         try:
-            report: list[dict] = []
+            report = self._attempt(run_id, mode, self.epoch)
             self._check_zone()
             prepared = prepare(increment, self.schema, self.contract)
             replica = self.read()
@@ -336,8 +467,11 @@ class ReplicaStore:
                 if key_rows:
                     with self._shuffling(self._key_bytes(prepared)):
                         keys = self._stage_keys(prepared, mode, stage)
-                    keys, small = self._hinted(keys, key_rows)
-                row.update(partitions=len(key_months), rows_in=key_rows, rows_out=key_rows)
+                # From the footers of what was written: exact, whatever executors were lost.
+                written = keys.count() if key_rows else 0
+                if key_rows:
+                    keys, small = self._hinted(keys, written)
+                row.update(partitions=len(key_months), rows_in=key_rows, rows_out=written)
 
             with self._stage(report, "detect") as row:
                 if keys is not None:
@@ -661,13 +795,14 @@ class ReplicaStore:
             return []
         return partition_counts(self._staged(stage, schema), self.contract).collect()
 
-    def _counts_of(self, stage: str, new: list[str]) -> list:
+    def _counts_of(self, stage: str, new: list[str], schema: T.StructType | None = None) -> list:
         """New rows per partition: of what was staged, or of the files appended to the replica."""
+        schema = schema or self.schema
         if self.publish_by != "append":
-            return self._staged_counts(stage, self.schema)
+            return self._staged_counts(stage, schema)
         if not new:
             return []
-        reader = self.spark.read.format(self.format).schema(self.schema)
+        reader = self.spark.read.format(self.format).schema(schema)
         rows = reader.option("basePath", self.root).load([f"{self.root}/{name}" for name in new])
         return partition_counts(rows, self.contract).collect()
 
@@ -899,7 +1034,8 @@ class ReplicaStore:
         ]
         self.files.make(f"{self.root}/_runs/partitions")
         self.files.make(f"{self.root}/_runs/stages")
-        partitions = [{"run_id": run_id, "epoch": epoch, **c} for c in changes]
+        common = {"run_id": run_id, "epoch": epoch, "finished": time.time()}
+        partitions = [common | c for c in changes]
         self.files.write_text(self._recorded("partitions", run_id, epoch), _lines(partitions))
         self.files.write_text(self._recorded("stages", run_id, epoch), _lines(stages))
 
@@ -908,13 +1044,32 @@ class ReplicaStore:
         name = run_id if not epoch else f"{run_id}.epoch-{epoch}"
         return f"{self.root}/_runs/{kind}/{name}.json"
 
+    def _attempt(self, run_id: str, mode: str, epoch: int) -> Attempt:
+        self.files.make(f"{self.root}/_runs/attempts")
+        name = uuid.uuid4().hex
+        about = {"attempt": name, "run_id": run_id, "mode": mode, "epoch": epoch}
+        return Attempt(f"{self.root}/_runs/attempts/{name}.json", about | {"started": time.time()})
+
     @contextmanager
-    def _stage(self, report: list[dict], name: str):
+    def _stage(self, report: Attempt, name: str):
+        """A stage of a load; its row is written as it ends, in one way or the other."""
         started = time.monotonic()
         row = {"stage": name, "partitions": 0, "rows_in": 0, "rows_out": 0}
         report.append(row)
-        yield row
+        try:
+            yield row
+        except Exception as error:
+            row["seconds"] = time.monotonic() - started
+            self._note(report, f"{type(error).__name__}: {error}"[:_ERROR_CHARS])
+            raise
         row["seconds"] = time.monotonic() - started
+        self._note(report)
+
+    def _note(self, report: Attempt, error: str | None = None) -> None:
+        rows = [{**report.about, "status": "done", "error": None, **row} for row in report]
+        if error is not None:
+            rows[-1] |= {"status": "failed", "error": error}
+        self.files.write_text(report.path, _lines(rows))
 
 
 def _planned_bytes(rows: DataFrame) -> int:
