@@ -50,16 +50,16 @@ def chunks(text: str) -> list[str]:
 #: A space that white space or nothing follows, in the syntax of Arrow's expressions.
 _ODD_SPACE = r" ([\x{9}-\x{D}\x{1C}-\x{20}\x{85}\p{Z}]|\z)"
 #: Ahead of a chunk that does not begin with a space.
-_BARE = "\0"
+BARE = "\0"
 
 
 def keyed(chunk: str) -> str:
     """A chunk without the space it begins with, or marked as having none."""
-    return chunk[1:] if chunk[0] == " " else _BARE + chunk
+    return chunk[1:] if chunk[0] == " " else BARE + chunk
 
 
 def unkeyed(key: str) -> str:
-    return key[1:] if key[:1] == _BARE else " " + key
+    return key[1:] if key[:1] == BARE else " " + key
 
 
 def cut(texts: pa.Array, special: Iterable[str]) -> pa.ListArray:
@@ -69,19 +69,19 @@ def cut(texts: pa.Array, special: Iterable[str]) -> pa.ListArray:
     beside the token must not be cut, and so are those with the character that marks keys.
     """
     texts = pc.fill_null(texts.cast(pa.string()), "")
-    whole = pc.match_substring(texts, _BARE)
+    whole = pc.match_substring(texts, BARE)
     for token in special:
         whole = pc.or_(whole, pc.match_substring(texts, token))
     odd = pc.or_(pc.match_substring_regex(texts, _ODD_SPACE), pc.equal(texts, ""))
     plain = pc.invert(pc.or_(whole, odd))
-    marked = pc.binary_join_element_wise(_BARE, texts.filter(plain), "")
+    marked = pc.binary_join_element_wise(BARE, texts.filter(plain), "")
     split = pc.split_pattern(marked, " ")
     rest = np.flatnonzero(~np.asarray(plain))
     if not len(rest):
         return split
     alone = np.asarray(whole)[rest].tolist()
     some = texts.take(pa.array(rest)).to_pylist()
-    some = [[_BARE + t] if one else list(map(keyed, chunks(t))) for t, one in zip(some, alone, strict=True)]
+    some = [[BARE + t] if one else list(map(keyed, chunks(t))) for t, one in zip(some, alone, strict=True)]
     order = np.argsort(np.concatenate([np.flatnonzero(np.asarray(plain)), rest]))
     return pa.concat_arrays([split, pa.array(some, split.type)]).take(pa.array(order))
 

@@ -18,6 +18,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import zstandard
 from pyspark import TaskContext
@@ -25,8 +26,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from epochfold.llm.bpe import Known
-from epochfold.llm.byte_bpe import cut, read_file, unkeyed
+from epochfold.llm.bpe import Known, Runs
+from epochfold.llm.byte_bpe import BARE, cut, read_file, unkeyed
 from epochfold.llm.shared import pick, shared_folder, slices
 
 MAGIC = b"IDPLANES"
@@ -35,7 +36,9 @@ BLOCK = 1 << 16
 #: Chunks of text that a task remembers the ids of.
 REMEMBERED = 700_000
 #: Chunks of text that the library gets in one call.
-JOINED = 2000
+JOINED = 20_000
+#: Bytes of texts that are looked up together: words repeat, so more at a time are fewer look-ups.
+TOGETHER = 4 << 20
 
 
 # -- blocks and planes ------------------------------------------------------------------------
@@ -172,29 +175,57 @@ class LibraryEncoder:
         self.special = {t.content: i for i, t in added.items() if t.special and not (t.lstrip or t.rstrip)}
         if not self.special or len(self.special) < len(added):
             raise ValueError("only plain special tokens are supported, and there must be one")
+        self.sizes = np.zeros(self.library.get_vocab_size(), np.int64)
+        for token, i in self.library.get_vocab(with_added_tokens=False).items():
+            self.sizes[i] = len(token)  # byte-level: a letter for each byte
         self.end_id, self.known = end_id, Known(self._ids, remembered)
 
     def _ids(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of chunks: many in one call, with a special token between them.
+        """The ids of chunks, in runs of many.
+
+        Chunks that begin with a space and hold no special token go to the library as one text,
+        which it would cut between them anyway. All others are encoded apart from each other.
+        """
+        runs, order, at = Runs(), np.zeros(len(keys), np.int64), 0
+        bare = np.fromiter((key[:1] == BARE for key in keys), bool, len(keys))
+        for some, encode in ((np.flatnonzero(~bare), self._as_text), (np.flatnonzero(bare), self._marked)):
+            for begin in range(0, len(some), JOINED):
+                chosen = some[begin : begin + JOINED]
+                runs.add(*encode([keys[i] for i in chosen.tolist()]))
+                order[chosen] = np.arange(at, at + len(chosen))
+                at += len(chosen)
+        return runs(order)
+
+    def _as_text(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of keys as one text; every chunk has to end where an id ends."""
+        text = " " + " ".join(keys)
+        if any(s in text for s in self.special):
+            return self._marked(keys)
+        (found,) = self.library.encode_batch_fast([text], add_special_tokens=False)
+        ids = np.asarray(found.ids, np.int32)
+        ends = np.cumsum(np.asarray(pc.binary_length(pa.array(keys, pa.string())), np.int64) + 1)
+        reached = np.cumsum(self.sizes[ids])
+        last = np.searchsorted(reached, ends)
+        if last[-1] + 1 != len(ids) or not np.array_equal(reached[last], ends):
+            return self._marked(keys)
+        return ids, np.diff(last, prepend=-1)
+
+    def _marked(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of chunks with a special token between them.
 
         The library cuts a text at special tokens before all else, so what lies between them is
         encoded as it is alone. Chunks that hold such tokens themselves are encoded one by one.
         """
         between, mark = next(iter(self.special.items()))
-        encode, flat, counts = self.library.encode_batch_fast, [], []
-        for begin in range(0, len(keys), JOINED):
-            run = list(map(unkeyed, keys[begin : begin + JOINED]))
-            if any(s in text for s in self.special for text in run):
-                found = [e.ids for e in encode(run, add_special_tokens=False)]
-                flat += [np.asarray(x, np.int32) for x in found]
-                counts += map(len, found)
-            else:
-                (found,) = encode([between.join(run)], add_special_tokens=False)
-                ids = np.asarray(found.ids, np.int32)
-                marks = np.flatnonzero(ids == mark)
-                flat.append(ids[ids != mark])
-                counts += (np.diff(np.concatenate([[-1], marks, [len(ids)]])) - 1).tolist()
-        return np.concatenate([np.zeros(0, np.int32), *flat]), np.asarray(counts, np.int64)
+        encode, run = self.library.encode_batch_fast, list(map(unkeyed, keys))
+        if any(s in text for s in self.special for text in run):
+            found = [e.ids for e in encode(run, add_special_tokens=False)]
+            flat = np.concatenate([np.zeros(0, np.int32), *(np.asarray(x, np.int32) for x in found)])
+            return flat, np.asarray(list(map(len, found)), np.int64)
+        (found,) = encode([between.join(run)], add_special_tokens=False)
+        ids = np.asarray(found.ids, np.int32)
+        marks = np.flatnonzero(ids == mark)
+        return ids[ids != mark], np.diff(np.concatenate([[-1], marks, [len(ids)]])) - 1
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one after another, and how many each text has."""
@@ -241,7 +272,7 @@ def write(
         files, at = pafs.FileSystem.from_uri(folder)
         writer = encoder = None
         for batch in batches:
-            for piece in slices(batch):
+            for piece in slices(batch, most=TOGETHER):
                 if writer is None:
                     encoder = library_encoder(source.value, end_id)
                     writer = Writer(files.open_output_stream(f"{at}/ids/{name}"), bits)

@@ -131,3 +131,22 @@ def test_decode_of_odd_ids(rows):
     got = {r.doc_id: r.text for r in bpe.decode(df, TOKENIZER).collect()}
     decode = lambda x: LIBRARY.decode(x, skip_special_tokens=False)
     assert got == {0: decode([50256, 99]), 1: decode([447]), 2: "", 3: ""}
+
+
+def test_library_encoder_joins_chunks_without_harm(docs):
+    """Joined, marked and single chunks give the library's ids, in the order of the keys."""
+    encoder = token_store.LibraryEncoder(open(TOKENIZER).read(), None)
+    odd = [f"a{chr(c)}b {chr(c)} {chr(c)}{chr(c)} 1{chr(c)}" for c in range(1, 0xD800, 29)]
+    texts = [*ODD, *odd, *list(docs.values())[:150]]
+    flat, counts = encoder(pa.array(texts, pa.string()))
+    got = [x.tolist() for x in np.split(flat, np.cumsum(counts)[:-1])]
+    assert got == [library(t) for t in texts]
+
+
+def test_chunks_that_do_not_end_at_an_id_are_marked():
+    """With sizes that fit no id, all chunks take the other way, and the ids stay the same."""
+    one = token_store.LibraryEncoder(open(TOKENIZER).read(), None)
+    two = token_store.LibraryEncoder(open(TOKENIZER).read(), None)
+    two.sizes[:] = 0
+    text = pa.array(["some words, and some more of them: é½ 12 345 ..."])
+    assert [x.tolist() for x in one(text)] == [x.tolist() for x in two(text)]
