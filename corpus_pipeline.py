@@ -2,7 +2,8 @@
 
 The quality classifier rejects documents; near-duplicate lines are removed from texts; of each
 group of near-duplicate documents one stays; documents with benchmark passages go; the rest is
-encoded. A stage returns the columns of its input, whatever they are; the last returns the ids.
+encoded and decoded. A stage returns the columns of its input, whatever they are; the last returns
+the ids and the text that they give.
 """
 
 from __future__ import annotations
@@ -42,7 +43,11 @@ class Columns:
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents that the quality classifier rejects."""
+    """Without the documents that the quality classifier rejects.
+
+    Each row is judged by its text, so equal texts share their fate under any id. A null or empty
+    text is judged as one without words; an empty table gives none.
+    """
     cols = Columns(docs)
     scored = quality.score(
         cols.frame, table(spark, sf_dir, "labels"), 0.3, cols.doc_id, cols.text, tuple(cols.numbers)
@@ -86,7 +91,11 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents that hold a window of a benchmark item."""
+    """Without the documents that hold a window of a benchmark item.
+
+    Each row is judged by its text, under any id. A null or empty text holds none and stays; so does
+    every row if there are no items.
+    """
     cols = Columns(docs)
     found = decontaminate.find(
         cols.frame,
@@ -99,9 +108,13 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, n_tokens, ids): the ids of every text that is left."""
-    encoded = bpe.encode(docs, TOKENIZER)
-    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
+    """(doc_id, n_tokens, ids, text): the ids of every text that is left, and the text decoded from them.
+
+    One row for each row, repeated ones and null ids included; a null or empty text has no ids and
+    decodes to an empty text; an empty table gives no rows.
+    """
+    done = bpe.round_trip(docs, TOKENIZER)
+    return done.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "text")
 
 
 STAGES = [
@@ -120,5 +133,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
-#: The classifier has no SQL form; tests cover the stages of lines and near duplicates only.
+#: The classifier has no SQL form; tests cover every stage.
 ORACLE_SQL = None
