@@ -221,12 +221,14 @@ def fit(docs: DataFrame, labels: DataFrame, vectors: np.ndarray, sample: int = S
     """The network, fitted on the driver to at most `sample` labelled documents.
 
     The sample is the labels that come first by hash of their id, out of those that may be learned
-    from; it is small enough to be broadcast. Of labels that disagree, the lowest counts.
+    from; it is small enough to be broadcast. Of labels that disagree, the lowest counts, and of an
+    id's texts the one that comes first by hash, so that no more than `sample` texts are fitted.
     """
     known = pick(labels, "doc_id", "quality").where("doc_id is not null and quality is not null")
     known = known.where(~held_out()).groupBy("doc_id").agg(F.min("quality").alias("quality"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    joined = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "quality", "text")
+    joined = docs.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "quality")
+    joined = joined.agg(F.min_by("text", F.xxhash64("text")).alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(vectors)
 
     def make():
@@ -242,7 +244,7 @@ def fit(docs: DataFrame, labels: DataFrame, vectors: np.ndarray, sample: int = S
     rows.sort(key=lambda r: (r.doc_id, r.x))
     x = np.asarray([r.x for r in rows], np.float64).reshape(-1, FEATURES)
     y = np.asarray([float(r.quality >= 1) for r in rows])
-    held = np.asarray([zlib.crc32(b"calibrate %d" % r.doc_id) % HOLD == 0 for r in rows], bool)
+    held = np.asarray([zlib.crc32(f"calibrate {r.doc_id}".encode()) % HOLD == 0 for r in rows], bool)
     return Network(x, y, held)
 
 
@@ -276,4 +278,5 @@ def score(
 
         return work
 
-    return map_texts(docs, make, "score double, predicted int", text_col, keep, arrow=True)
+    texts = pick(docs, *keep, **{"scored text": text_col})
+    return map_texts(texts, make, "score double, predicted int", "scored text", keep, arrow=True)
