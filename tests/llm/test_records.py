@@ -148,6 +148,43 @@ def test_duplicate_embeddings(rows, size, monkeypatch):
     assert found_duplicates(df) == want
 
 
+@pytest.mark.parametrize("size", [2, 64])
+def test_duplicate_embeddings_of_many_regions(rows, size, monkeypatch):
+    data = [(i, v, i % 2) for i, v in enumerate(clusters(size + 1, size, 60, 0.13))]
+    df = rows("vec_id long, embedding array<float>, label int", data)
+    monkeypatch.setattr(embeddings, "REGION", 16)
+    monkeypatch.setattr(embeddings, "SAMPLE", 8)
+    assert found_duplicates(df) == plain_duplicates(data)
+
+
+def test_near_pairs_meet_and_regions_multiply_little():
+    """Near pairs meet in a region of some block; in 32 regions a vector takes 2.5 times its own size at most."""
+    rng = np.random.default_rng(5)
+    vectors = rng.normal(size=(20_000, 64))
+    vectors[1::2] = vectors[::2] + rng.normal(size=(10_000, 64)) * 0.1
+    _, _, unit = embeddings.units(vectors)
+    near = (unit[::2] * unit[1::2]).sum(1) >= 0.98
+    grid = embeddings.space(64, 0.98)
+    turned = grid.rotated(unit)
+    parts = [grid.block(turned, b) for b in range(len(grid.starts))]
+    reach = [math.sqrt(b) for b in grid.budgets]
+    trees = {(3, 64): [embeddings._tree(p[::40], 5, r) for p, r in zip(parts, reach, strict=True)]}
+    met, sent = np.zeros(10_000, bool), 0
+    for rows, key, block, codes in embeddings._cells(vectors, [3] * 20_000, 0.98, trees):
+        sent += codes.nbytes + 16 * len(rows)  # with a key and a node
+        assert len(np.unique(key)) == 32
+        at = {}
+        for row, k in zip(rows.tolist(), key.tolist(), strict=True):
+            at.setdefault(row, set()).add(k)
+        code = dict(zip(rows.tolist(), codes.astype(int), strict=True))
+        for i in range(10_000):
+            one, two = 2 * i, 2 * i + 1
+            close = ((code[one] - code[two]) ** 2).sum() <= grid.limit(block)
+            met[i] |= bool(close and at[one] & at[two])
+    assert near.sum() > 5000 and met[near].all()
+    assert sent < 4 * 2.5 * 20_000 * 64  # of four bytes a coordinate
+
+
 def test_embedding_edges(rows):
     inf, nan = math.inf, math.nan
     data = [
